@@ -1,9 +1,7 @@
-"""Joins against a side whose size is measured first."""
+"""Broadcasts behind a measured size."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,23 +10,16 @@ BROADCAST_BYTES = 64 << 20
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Bytes of the values in ``df``: text by length, everything else as 8."""
-    width = F.lit(0)
-    for field in df.schema.fields:
-        text = isinstance(field.dataType, T.StringType)
-        width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) + 8 if text else F.lit(8))
-    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
+    """Bytes of the values in ``df``: 8 each, and for text its length on top."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
+    return sum(df.agg(F.count("*") * 8 * len(df.columns), *lengths).first())
 
 
-def left_join_measured(
-    fact: DataFrame, side: DataFrame, on: str | Sequence[str], limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Left join that broadcasts ``side`` only when it measures at most ``limit`` bytes.
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if it measures at most ``limit`` bytes, else leave the join to the planner.
 
-    The static estimate is no help here: for a side that is itself a join it multiplies the input sizes. A
-    larger side goes through a shuffle join, where adaptive execution splits hot keys.
+    The planner's own estimate is no help for a table that is itself a join: it multiplies the input sizes. A
+    larger table goes through a shuffle join, in which adaptive execution splits hot keys.
     """
-    keys = [on] if isinstance(on, str) else list(on)
-    if measured_bytes(side) <= limit:
-        side = F.broadcast(side)
-    return fact.join(side, keys, "left")
+    return F.broadcast(df) if measured_bytes(df) <= limit else df

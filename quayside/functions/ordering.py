@@ -19,7 +19,11 @@ def running_total(df: DataFrame, key: str, weight: Column, out: str, within: Seq
     """
     drawn = df.select(key).where(F.col(key).isNotNull()).orderBy(F.md5(F.col(key).cast("string"))).limit(SLICES)
     cuts = drawn.agg(F.array_sort(F.collect_list(key))).scalar()
-    sliced = df.withColumns({"_slice": F.size(F.filter(cuts, lambda c: c <= F.col(key))), "_weight": weight})
+    sliced = (
+        df.withColumns({"_cuts": cuts, "_weight": weight})
+        .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c <= F.col(key))))
+        .drop("_cuts")
+    )
 
     group = [*within, "_slice"]
     earlier = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -34,7 +38,7 @@ def running_total(df: DataFrame, key: str, weight: Column, out: str, within: Seq
         sliced.withColumn("_inside", F.sum("_weight").over(upto))
         .join(offsets, group)
         .withColumn(out, F.col("_inside") + F.col("_offset"))
-        .drop("_slice", "_weight", "_inside", "_total", "_offset")
+        .drop("_slice", "_weight", "_inside", "_offset")
     )
 
 

@@ -129,16 +129,10 @@ def carrier_compare(
 
 def filter_options(master: DataFrame) -> DataFrame:
     """Years, origin regions and carrier names to choose from, found in one pass."""
-    options = F.inline(
-        F.array(
-            *[
-                F.struct(F.lit(name).alias("option"), F.col(column).cast("string").alias("value"))
-                for name, column in (
-                    ("year", "departure_year"),
-                    ("region", "origin_region"),
-                    ("carrier", "carrier_name"),
-                )
-            ]
-        )
+    named = master.select(
+        F.col("departure_year").cast("string").alias("year"),
+        F.col("origin_region").alias("region"),
+        F.col("carrier_name").alias("carrier"),
     )
-    return master.select(options).dropna(subset=["value"]).distinct().orderBy("option", "value")
+    options = named.unpivot([], named.columns, "option", "value")
+    return options.dropna(subset=["value"]).distinct().orderBy("option", "value")

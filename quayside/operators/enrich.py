@@ -1,4 +1,7 @@
-"""The wide shipment table and the lookups built on it."""
+"""The wide shipment table and the lookups built on it.
+
+The ``attach_*`` joins leave their side as it is; pass it through ``broadcast_if_small`` first.
+"""
 
 from __future__ import annotations
 
@@ -6,17 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import measures as M
-from quayside.functions.joins import BROADCAST_BYTES, left_join_measured
+from quayside.functions.joins import BROADCAST_BYTES, broadcast_if_small
 from quayside.functions.ordering import weighted_median
 from quayside.schema import DEFAULT_ROUTE_DAYS, ROUTE_DAY_BOUNDS
 from quayside.session import stage
 
 
-def attach_carrier(shipments: DataFrame, carriers: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def attach_carrier(shipments: DataFrame, carriers: DataFrame) -> DataFrame:
     side = carriers.select(
         "carrier_id", "carrier_name", "carrier_type", "rating", F.col("country").alias("carrier_country")
     )
-    return left_join_measured(shipments, side, "carrier_id", limit)
+    return shipments.join(side, "carrier_id", "left")
 
 
 def _port_side(ports: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -29,13 +32,12 @@ def _port_side(ports: DataFrame, key: str, prefix: str) -> DataFrame:
     )
 
 
-def attach_origin(shipments: DataFrame, ports: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    return left_join_measured(shipments, _port_side(ports, "origin_port_id", "origin"), "origin_port_id", limit)
+def attach_origin(shipments: DataFrame, ports: DataFrame) -> DataFrame:
+    return shipments.join(_port_side(ports, "origin_port_id", "origin"), "origin_port_id", "left")
 
 
-def attach_destination(shipments: DataFrame, ports: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    side = _port_side(ports, "destination_port_id", "dest")
-    return left_join_measured(shipments, side, "destination_port_id", limit)
+def attach_destination(shipments: DataFrame, ports: DataFrame) -> DataFrame:
+    return shipments.join(_port_side(ports, "destination_port_id", "dest"), "destination_port_id", "left")
 
 
 def weather_daily_max(weather: DataFrame) -> DataFrame:
@@ -47,7 +49,7 @@ def weather_daily_max(weather: DataFrame) -> DataFrame:
     )
 
 
-def attach_weather(shipments: DataFrame, daily: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def attach_weather(shipments: DataFrame, daily: DataFrame) -> DataFrame:
     """Worst weather at the origin on the departure day: no report means severity 0 and the median wind.
 
     The median is the one over the joined rows. It comes from shipment counts per port and day, so the wide
@@ -62,8 +64,7 @@ def attach_weather(shipments: DataFrame, daily: DataFrame, limit: int = BROADCAS
     )
     per_day = shipments.groupBy(*keys).agg(F.count("*").alias("_shipments"))
     median = weighted_median(per_day.join(side, keys), "origin_wind_kmh", "_shipments").scalar()
-    joined = left_join_measured(shipments, side, keys, limit)
-    return joined.withColumns(
+    return shipments.join(side, keys, "left").withColumns(
         {
             "origin_weather_severity": F.coalesce(F.col("origin_weather_severity").cast("double"), F.lit(0.0)),
             "origin_wind_kmh": F.coalesce("origin_wind_kmh", median),
@@ -111,8 +112,9 @@ def join_master(
 
     ``shipments`` and ``daily`` (see ``weather_daily_max``) should be written tables.
     """
-    wide = attach_weather(shipments, daily, limit)
-    wide = attach_destination(attach_origin(attach_carrier(wide, carriers, limit), ports, limit), ports, limit)
+    carriers, ports, daily = (broadcast_if_small(side, limit) for side in (carriers, ports, daily))
+    wide = attach_carrier(attach_weather(shipments, daily), carriers)
+    wide = attach_destination(attach_origin(wide, ports), ports)
     wide = wide.withColumn("route", M.route_label(F.col("origin_port_name"), F.col("dest_port_name")))
     extra = [c for c in wide.columns if c not in MASTER_COLUMNS]
     return wide.select(*MASTER_COLUMNS, *extra)

@@ -107,13 +107,8 @@ def carrier_delay_rank(kpis: DataFrame) -> DataFrame:
     A window over all carriers would sort them in one task. Ranks depend only on how many carriers hold each
     value, and both measures are rounded, so the window runs over the few distinct values instead.
     """
-    measure = F.inline(
-        F.array(
-            F.struct(F.lit("perf").alias("kind"), (-F.col("performance_score")).alias("value")),
-            F.struct(F.lit("delay").alias("kind"), F.col("avg_delay_days").alias("value")),
-        )
-    )
-    held = kpis.select(measure).groupBy("kind", "value").agg(F.count("*").alias("held"))
+    measures = kpis.select((-F.col("performance_score")).alias("perf"), F.col("avg_delay_days").alias("delay"))
+    held = measures.unpivot([], measures.columns, "kind", "value").groupBy("kind", "value").agg(F.count("*").alias("held"))
     order = {"perf": F.col("value").asc_nulls_last(), "delay": F.col("value").asc_nulls_first()}
 
     def ranks(kind: str) -> DataFrame:

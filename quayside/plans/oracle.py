@@ -460,6 +460,10 @@ from ({_COMPARED})"""
         ),
         "feature_table": _sql("select * from features"),
         "stratified_split": _sql("select * from split"),
+        "plain_split": _sql(
+            "select shipment_id, ('0x' || left(md5(shipment_id || '-42'), 8))::bigint / 4294967296::double < 0.8::double "
+            "as is_train from master"
+        ),
         "stratified_split_counts": _sql(
             "select delay_binary, count(*) filter (where is_train) as n_train, "
             "count(*) filter (where not is_train) as n_test from split group by delay_binary"

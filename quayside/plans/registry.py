@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import measures as M
 from quayside.functions.casting import null_tokens_to_null
-from quayside.operators import clean, dashboards, enrich, marts, quality
-from quayside.plans import etl
-from quayside.session import staging_path
+from quayside.functions.joins import broadcast_if_small
+from quayside.operators import clean, dashboards, enrich, features, marts, models, quality, whatif
+from quayside.plans import etl, training
+from quayside.session import stage, staging_path
 from quayside.sources import files, testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,33 +37,47 @@ REGION_BOUNDS = {
 }
 
 
+@lru_cache(maxsize=16)
 def shipments(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_shipments(testdata.shipments(spark, sf))
 
 
+@lru_cache(maxsize=16)
 def carriers(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_carriers(testdata.carriers(spark, sf))
 
 
+@lru_cache(maxsize=16)
 def ports(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_ports(testdata.ports(spark, sf))
 
 
+@lru_cache(maxsize=16)
 def weather(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_weather(testdata.weather(spark, sf))
 
 
+@lru_cache(maxsize=16)
+def carrier_side(spark: SparkSession, sf: str) -> DataFrame:
+    return broadcast_if_small(carriers(spark, sf))
+
+
+@lru_cache(maxsize=16)
+def port_side(spark: SparkSession, sf: str) -> DataFrame:
+    return broadcast_if_small(ports(spark, sf))
+
+
 def with_origin(spark: SparkSession, sf: str) -> DataFrame:
     """The part of the wide table that most dashboard figures need."""
-    return enrich.attach_origin(shipments(spark, sf), ports(spark, sf))
+    return enrich.attach_origin(shipments(spark, sf), port_side(spark, sf))
 
 
 def with_origin_and_carrier(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.attach_carrier(with_origin(spark, sf), carriers(spark, sf))
+    return enrich.attach_carrier(with_origin(spark, sf), carrier_side(spark, sf))
 
 
 def with_both_ports(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.attach_destination(with_origin(spark, sf), ports(spark, sf))
+    return enrich.attach_destination(with_origin(spark, sf), port_side(spark, sf))
 
 
 def raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -122,7 +138,7 @@ def route_bounds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def delay_prior(spark: SparkSession, sf: str) -> DataFrame:
-    wide = enrich.attach_carrier(with_both_ports(spark, sf), carriers(spark, sf))
+    wide = enrich.attach_carrier(with_both_ports(spark, sf), carrier_side(spark, sf))
     return enrich.with_delay_prior(wide).select("shipment_id", M.half_up(F.col("delay_prior"), 6).alias("delay_prior"))
 
 
@@ -151,6 +167,84 @@ def etl_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     return quality.row_counts(files.read_relations(spark, names))
 
 
+@lru_cache(maxsize=4)
+def wide_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide table, written once for all model queries."""
+    return stage(master(spark, sf), "master")
+
+
+@lru_cache(maxsize=4)
+def prepared(spark: SparkSession, sf: str) -> training.Prepared:
+    return training.prepare(wide_table(spark, sf))
+
+
+# The defaults are 200 and 300 trees; the registered queries show the models with fewer.
+DELAY_SHAPE = (20, *models.DELAY_SHAPE[1:])
+COST_SHAPE = (20, *models.COST_SHAPE[1:])
+
+
+@lru_cache(maxsize=4)
+def delay_models(spark: SparkSession, sf: str) -> models.DelayModels:
+    """Trained once per session, saved, and read back for every use."""
+    path = staging_path(spark, "delay-models")
+    training.train_delay(prepared(spark, sf), DELAY_SHAPE).save(path)
+    return models.DelayModels.load(spark, path)
+
+
+def feature_table(spark: SparkSession, sf: str) -> DataFrame:
+    return features.feature_table(wide_table(spark, sf), prepared(spark, sf).codes)
+
+
+def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
+    marked = features.stratified_split(prepared(spark, sf).inputs, "delay_binary")
+    return marked.select("shipment_id", "delay_binary", "is_train")
+
+
+def stratified_split_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return (
+        stratified_split(spark, sf)
+        .groupBy("delay_binary")
+        .agg(F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test"))
+    )
+
+
+def plain_split(spark: SparkSession, sf: str) -> DataFrame:
+    return features.plain_split(prepared(spark, sf).inputs).select("shipment_id", "is_train")
+
+
+def delay_classifier_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    _, test = training.split(prepared(spark, sf))
+    return models.classification_report(models.score_delay(test, delay_models(spark, sf).classifier))
+
+
+def delay_regressor_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    _, test = training.split(prepared(spark, sf))
+    scored = models.predict_days(test.where("delay_days > 0"), delay_models(spark, sf).regressor)
+    return models.regression_report(scored, "delay_days")
+
+
+def cost_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    _, test = training.split(prepared(spark, sf), stratified=False)
+    model = training.train_cost(prepared(spark, sf), COST_SHAPE)
+    return models.regression_report(models.predict_cost(test, model), "cost_usd")
+
+
+def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return models.feature_importance(spark, delay_models(spark, sf).classifier)
+
+
+def score_shipments(spark: SparkSession, sf: str) -> DataFrame:
+    scored = models.score_delay(prepared(spark, sf).inputs, delay_models(spark, sf).classifier)
+    return scored.select("shipment_id", "prediction", "delay_probability")
+
+
+def whatif_carrier_switch(spark: SparkSession, sf: str) -> DataFrame:
+    trained = delay_models(spark, sf)
+    return whatif.whatif_carrier_switch(
+        wide_table(spark, sf), carriers(spark, sf), trained.classifier, trained.codes, "C000003", "C000007"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "clean_carriers": clean_table("carriers"),
@@ -188,4 +282,14 @@ def queries() -> dict[str, Query]:
             with_origin_and_carrier(s, d), YEARS, REGIONS, CARRIER_FROM, CARRIER_TO
         ),
         "filter_options": lambda s, d: dashboards.filter_options(with_origin_and_carrier(s, d)),
+        "feature_table": feature_table,
+        "stratified_split": stratified_split,
+        "stratified_split_counts": stratified_split_counts,
+        "plain_split": plain_split,
+        "delay_classifier_metrics": delay_classifier_metrics,
+        "delay_regressor_metrics": delay_regressor_metrics,
+        "cost_model_metrics": cost_model_metrics,
+        "feature_importance": feature_importance,
+        "score_shipments": score_shipments,
+        "whatif_carrier_switch": whatif_carrier_switch,
     }

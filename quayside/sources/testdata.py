@@ -2,48 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@lru_cache(maxsize=64)
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _id(prefix: str, number: Column, digits: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0"))
-
-
 def carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    kind = F.when(key % 4 == 0, "Ocean").when(key % 4 == 1, "Air").when(key % 4 == 2, "Rail").otherwise("Multi")
     nation = _table(spark, sf_dir, "nation")
     return (
         _table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            _id("C", key, 6).alias("carrier_id"),
-            F.col("s_name").alias("carrier_name"),
-            kind.alias("carrier_type"),
-            ((30 + key % 18).cast("double") / 10).alias("rating"),
-            F.col("n_name").alias("country"),
-            (100 + key * 7 % 600).cast("bigint").alias("fleet_size"),
+        .join(nation, F.expr("s_nationkey = n_nationkey"))
+        .selectExpr(
+            "'C' || lpad(cast(s_suppkey as string), 6, '0') as carrier_id",
+            "s_name as carrier_name",
+            "case s_suppkey % 4 when 0 then 'Ocean' when 1 then 'Air' when 2 then 'Rail' else 'Multi' end"
+            " as carrier_type",
+            "cast(30 + s_suppkey % 18 as double) / 10 as rating",
+            "n_name as country",
+            "cast(100 + s_suppkey * 7 % 600 as bigint) as fleet_size",
         )
     )
 
 
 def ports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("n_nationkey")
     region = _table(spark, sf_dir, "region")
     return (
         _table(spark, sf_dir, "nation")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            _id("P", key, 3).alias("port_id"),
-            F.col("n_name").alias("port_name"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("region"),
-            ((key * 37 % 101).cast("double") / 100).alias("congestion_index"),
+        .join(region, F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            "'P' || lpad(cast(n_nationkey as string), 3, '0') as port_id",
+            "n_name as port_name",
+            "n_name as country",
+            "r_name as region",
+            "cast(n_nationkey * 37 % 101 as double) / 100 as congestion_index",
         )
     )
 
@@ -51,58 +48,45 @@ def ports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the customer's nation as destination.
 
-    Orders meet customers first: both are far smaller than the line items, which are then shuffled once.
+    Orders meet customers first: both are far smaller than the line items, which are then shuffled once. Both
+    sides of that join grow with the data, and the size estimate of a join is too high, so the planner is told
+    to merge rather than to broadcast the line items as the seemingly smaller side.
     """
     destinations = (
         _table(spark, sf_dir, "orders")
-        .join(_table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(_table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .select("o_orderkey", "c_nationkey")
     )
-    order, part = F.col("l_orderkey"), F.col("l_partkey")
-    shipped = F.col("l_shipdate").cast("date")
-    planned = 5 + part % 26
-    flag = F.col("l_returnflag")
-    lost = (order + part) % 97 == 0
-    late = F.when(flag == "R", 1 + order % 15).when(flag == "A", -(order % 3)).otherwise(0)
-    status = (
-        F.when(lost & (F.col("l_linenumber") <= 5), "Cancelled")
-        .when((F.col("l_linestatus") == "O") & (flag == "N"), "In Transit")
-        .when(flag == "R", "Delayed")
-        .otherwise("Delivered")
-    )
-    id_parts = [order, F.col("l_linenumber"), part, F.col("l_suppkey"), F.col("l_quantity").cast("int")]
     return (
         _table(spark, sf_dir, "lineitem")
-        .join(destinations, order == F.col("o_orderkey"))
-        .select(
-            F.concat_ws("-", *[p.cast("string") for p in id_parts]).alias("shipment_id"),
-            _id("P", part % 24, 3).alias("origin_port_id"),
-            _id("P", F.col("c_nationkey"), 3).alias("destination_port_id"),
-            _id("C", F.col("l_suppkey"), 6).alias("carrier_id"),
-            shipped.alias("departure_date"),
-            F.date_add(shipped, planned.cast("int")).alias("scheduled_arrival"),
-            F.when(~lost, F.date_add(shipped, (planned + late).cast("int"))).alias("actual_arrival"),
-            F.col("l_extendedprice").alias("cost_usd"),
-            status.alias("status"),
+        .join(destinations.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as int)) as shipment_id",
+            "'P' || lpad(cast(l_partkey % 24 as string), 3, '0') as origin_port_id",
+            "'P' || lpad(cast(c_nationkey as string), 3, '0') as destination_port_id",
+            "'C' || lpad(cast(l_suppkey as string), 6, '0') as carrier_id",
+            "cast(l_shipdate as date) as departure_date",
+            "date_add(cast(l_shipdate as date), cast(5 + l_partkey % 26 as int)) as scheduled_arrival",
+            "case when (l_orderkey + l_partkey) % 97 <> 0 then date_add(cast(l_shipdate as date),"
+            " cast(5 + l_partkey % 26 + case l_returnflag when 'R' then 1 + l_orderkey % 15"
+            " when 'A' then - (l_orderkey % 3) else 0 end as int)) end as actual_arrival",
+            "l_extendedprice as cost_usd",
+            "case when (l_orderkey + l_partkey) % 97 = 0 and l_linenumber <= 5 then 'Cancelled'"
+            " when l_linestatus = 'O' and l_returnflag = 'N' then 'In Transit'"
+            " when l_returnflag = 'R' then 'Delayed' else 'Delivered' end as status",
         )
     )
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event, user = F.col("event_id"), F.col("user_id")
-    turn = (event * 5 + user) % 7
-    names = ["Clear", "Cloudy", "Rain", "Thunderstorm", "Fog", "Storm"]
-    condition = F.when(turn == 0, names[0])
-    for i, name in enumerate(names[1:], start=1):
-        condition = condition.when(turn == i, name)
-    wind = (50 + F.round(F.col("value") * 100).cast("bigint") % 850).cast("double") / 10
-    return _table(spark, sf_dir, "events").select(
-        event.alias("weather_id"),
-        _id("P", user % 25, 3).alias("port_id"),
-        F.date_add(F.lit("1995-01-01").cast("date"), (3 * (event % 833)).cast("int")).alias("weather_date"),
-        condition.otherwise("Hail").alias("condition"),
-        wind.alias("wind_speed_kmh"),
-        (1 + event % 20).cast("bigint").alias("visibility_km"),
+    return _table(spark, sf_dir, "events").selectExpr(
+        "event_id as weather_id",
+        "'P' || lpad(cast(user_id % 25 as string), 3, '0') as port_id",
+        "date_add(date '1995-01-01', cast(3 * (event_id % 833) as int)) as weather_date",
+        "case (event_id * 5 + user_id) % 7 when 0 then 'Clear' when 1 then 'Cloudy' when 2 then 'Rain'"
+        " when 3 then 'Thunderstorm' when 4 then 'Fog' when 5 then 'Storm' else 'Hail' end as condition",
+        "cast(50 + cast(round(value * 100) as bigint) % 850 as double) / 10 as wind_speed_kmh",
+        "cast(1 + event_id % 20 as bigint) as visibility_km",
     )
 
 
@@ -110,57 +94,55 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 # do not parse.
 
 
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
 def raw_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.substring("carrier_id", 2, 6).cast("int")
-    return carriers(spark, sf_dir).select(
+    numbered = carriers(spark, sf_dir).withColumn("n", F.expr("cast(substr(carrier_id, 2, 6) as int)"))
+    return numbered.selectExpr(
         "carrier_id",
-        F.when(number % 3 == 0, F.concat(F.lit("\t "), "carrier_name", F.lit("  "))).otherwise(F.col("carrier_name")).alias("carrier_name"),
-        F.when(number % 11 == 0, "n/a").otherwise(F.col("carrier_type")).alias("carrier_type"),
-        F.when(number % 7 == 0, "n/a").when(number % 7 == 1, "good").when(number % 7 == 2, F.concat(_text("rating"), F.lit("f"))).otherwise(_text("rating")).alias("rating"),
+        "if(n % 3 = 0, '\\t ' || carrier_name || '  ', carrier_name) as carrier_name",
+        "if(n % 11 = 0, 'n/a', carrier_type) as carrier_type",
+        "case n % 7 when 0 then 'n/a' when 1 then 'good' when 2 then rating || 'f'"
+        " else cast(rating as string) end as rating",
         "country",
-        F.when(number % 5 == 0, F.concat(_text("fleet_size"), F.lit(".5"))).when(number % 5 == 1, F.concat(_text("fleet_size"), F.lit(".0"))).when(number % 5 == 2, "many").otherwise(_text("fleet_size")).alias("fleet_size"),
+        "case n % 5 when 0 then fleet_size || '.5' when 1 then fleet_size || '.0' when 2 then 'many'"
+        " else cast(fleet_size as string) end as fleet_size",
     )
 
 
 def raw_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.substring("port_id", 2, 3).cast("int")
-    return ports(spark, sf_dir).select(
+    numbered = ports(spark, sf_dir).withColumn("n", F.expr("cast(substr(port_id, 2, 3) as int)"))
+    return numbered.selectExpr(
         "port_id",
-        F.when(number % 2 == 0, F.concat(F.lit("  "), "port_name", F.lit("\n"))).otherwise(F.col("port_name")).alias("port_name"),
+        "if(n % 2 = 0, '  ' || port_name || '\\n', port_name) as port_name",
         "country",
-        F.when(number == 7, "NULL").otherwise(F.col("region")).alias("region"),
-        F.when(number == 3, "?").when(number == 9, "").otherwise(F.concat(F.lit(" "), _text("congestion_index"))).alias("congestion_index"),
+        "if(n = 7, 'NULL', region) as region",
+        "case n when 3 then '?' when 9 then '' else ' ' || congestion_index end as congestion_index",
     )
 
 
 def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.dayofyear("departure_date")
-    return shipments(spark, sf_dir).select(
+    numbered = shipments(spark, sf_dir).withColumn("n", F.dayofyear("departure_date"))
+    return numbered.selectExpr(
         "shipment_id",
         "origin_port_id",
         "destination_port_id",
         "carrier_id",
-        F.when(day == 40, "soon").otherwise(_text("departure_date")).alias("departure_date"),
-        F.when(day == 41, "1999-02-30").otherwise(_text("scheduled_arrival")).alias("scheduled_arrival"),
-        F.when(F.col("actual_arrival").isNull(), "NaN").when(day == 42, F.concat(_text("actual_arrival"), F.lit(" 10:00:00"))).otherwise(_text("actual_arrival")).alias("actual_arrival"),
-        F.when(day % 50 == 43, F.concat(F.lit("$"), _text("cost_usd"))).otherwise(_text("cost_usd")).alias("cost_usd"),
-        F.when(day == 44, "None").otherwise(F.col("status")).alias("status"),
+        "if(n = 40, 'soon', cast(departure_date as string)) as departure_date",
+        "if(n = 41, '1999-02-30', cast(scheduled_arrival as string)) as scheduled_arrival",
+        "case when actual_arrival is null then 'NaN' when n = 42 then actual_arrival || ' 10:00:00'"
+        " else cast(actual_arrival as string) end as actual_arrival",
+        "if(n % 50 = 43, '$' || cost_usd, cast(cost_usd as string)) as cost_usd",
+        "if(n = 44, 'None', status) as status",
     )
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = F.col("weather_id")
-    return weather(spark, sf_dir).select(
-        _text("weather_id").alias("weather_id"),
+    return weather(spark, sf_dir).selectExpr(
+        "cast(weather_id as string) as weather_id",
         "port_id",
-        F.when(number % 19 == 0, "today").otherwise(_text("weather_date")).alias("weather_date"),
-        F.when(number % 17 == 0, "#N/A").otherwise(F.col("condition")).alias("condition"),
-        F.when(number % 13 == 0, "calm").otherwise(_text("wind_speed_kmh")).alias("wind_speed_kmh"),
-        F.when(number % 23 == 0, "<NA>").otherwise(_text("visibility_km")).alias("visibility_km"),
+        "if(weather_id % 19 = 0, 'today', cast(weather_date as string)) as weather_date",
+        "if(weather_id % 17 = 0, '#N/A', condition) as condition",
+        "if(weather_id % 13 = 0, 'calm', cast(wind_speed_kmh as string)) as wind_speed_kmh",
+        "if(weather_id % 23 = 0, '<NA>', cast(visibility_km as string)) as visibility_km",
     )
 
 
