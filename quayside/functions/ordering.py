@@ -19,11 +19,11 @@ def running_total(df: DataFrame, key: str, weight: Column, out: str, within: Seq
     """
     drawn = df.select(key).where(F.col(key).isNotNull()).orderBy(F.md5(F.col(key).cast("string"))).limit(SLICES)
     cuts = drawn.agg(F.array_sort(F.collect_list(key))).scalar()
-    sliced = (
-        df.withColumns({"_cuts": cuts, "_weight": weight})
-        .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c <= F.col(key))))
-        .drop("_cuts")
-    )
+    below = F.size(F.filter("_cuts", lambda c: c <= F.col(key)))
+    # Never null, so that the join on the slice adds no null check, which would move below the caller's groupBy
+    # and run for every row there.
+    sliced = df.withColumns({"_cuts": cuts, "_weight": weight}).withColumn("_slice", F.coalesce(below, F.lit(0)))
+    sliced = sliced.drop("_cuts")
 
     group = [*within, "_slice"]
     earlier = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -48,8 +48,8 @@ def weighted_median(df: DataFrame, value: str, weight: str) -> DataFrame:
     An even count gives the mean of the two middle values. Rows are first merged to one per distinct value.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.sum(weight).alias("_n"))
-    total = counted.agg(F.sum("_n")).scalar()
-    placed = running_total(counted, value, F.col("_n"), "_upto")
+    total = F.col("_total")
+    placed = running_total(counted, value, F.col("_n"), "_upto").withColumn("_total", counted.agg(F.sum("_n")).scalar())
     # With n values the middle ones stand at positions floor((n + 1) / 2) and floor(n / 2) + 1.
     low = F.min(F.when(F.col("_upto") >= F.floor((total + 1) / 2), F.col(value)))
     high = F.min(F.when(F.col("_upto") >= F.floor(total / 2) + 1, F.col(value)))

@@ -53,12 +53,11 @@ def delay_histogram(master: DataFrame, years: Sequence[int], regions: Sequence[s
     )
     ends = per_day.agg(F.struct(F.min("delay_days").alias("a"), F.max("delay_days").alias("b"))).scalar()
     widths = [step * 10**power for power in range(7) for step in (1, 2, 5)]
-    fits = [
-        F.when(F.floor(ends["b"] / w) - F.floor(ends["a"] / w) < max_bins, F.lit(w).cast("bigint")) for w in widths
-    ]
-    width = F.coalesce(*fits)
+    fits = [f"when floor(_ends.b / {w}) - floor(_ends.a / {w}) < {max_bins} then {w}" for w in widths]
+    width = F.expr(f"cast(case {' '.join(fits)} end as bigint)")
     return (
-        per_day.withColumn("width", width)
+        per_day.withColumn("_ends", ends)
+        .withColumn("width", width)
         .withColumn("bin_start", F.floor(F.col("delay_days") / F.col("width")) * F.col("width"))
         .groupBy("bin_start", (F.col("bin_start") + F.col("width")).alias("bin_end"))
         .agg(F.sum("n").alias("shipments"))

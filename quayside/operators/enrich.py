@@ -164,10 +164,7 @@ def with_delay_prior(master: DataFrame) -> DataFrame:
 
 def weather_gaps(ports: DataFrame, weather: DataFrame, every_days: int = 3) -> DataFrame:
     """Days of the observation grid (every third day over the observed range) on which a port has no report."""
-    days = weather.agg(F.struct(F.min("weather_date").alias("a"), F.max("weather_date").alias("b"))).scalar()
-    grid = ports.select(
-        "port_id",
-        F.explode(F.sequence(days["a"], days["b"], F.make_dt_interval(F.lit(every_days)))).alias("weather_date"),
-    )
+    days = weather.agg(F.sequence(F.min("weather_date"), F.max("weather_date"), F.expr(f"interval {every_days} days")))
+    grid = ports.select("port_id", F.explode(days.scalar()).alias("weather_date"))
     seen = weather.select("port_id", "weather_date").distinct()
     return grid.join(seen, ["port_id", "weather_date"], "left_anti")
