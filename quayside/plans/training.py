@@ -44,3 +44,24 @@ def train_delay(prepared: Prepared, shape=models.DELAY_SHAPE) -> models.DelayMod
 def train_cost(prepared: Prepared, shape=models.COST_SHAPE) -> GBTRegressionModel:
     train, _ = split(prepared, stratified=False)
     return models.train_cost_model(train, shape)
+
+
+def run_training(
+    master: DataFrame, out_dir: str, delay_shape=models.DELAY_SHAPE, cost_shape=models.COST_SHAPE
+) -> dict[str, DataFrame]:
+    """Train and save all models under ``out_dir``; returns the hold-out reports."""
+    prepared = prepare(master)
+    delay = train_delay(prepared, delay_shape)
+    cost = train_cost(prepared, cost_shape)
+    delay.save(out_dir)
+    cost.write().overwrite().save(f"{out_dir}/cost_model")
+
+    _, test = split(prepared)
+    _, cost_test = split(prepared, stratified=False)
+    late = test.where("delay_days > 0")
+    return {
+        "delay_classifier": models.classification_report(models.score_delay(test, delay.classifier)),
+        "delay_regressor": models.regression_report(models.predict_days(late, delay.regressor), "delay_days"),
+        "cost_model": models.regression_report(models.predict_cost(cost_test, cost), "cost_usd"),
+        "feature_importance": models.feature_importance(master.sparkSession, delay.classifier),
+    }

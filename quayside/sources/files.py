@@ -69,6 +69,7 @@ def register_views(relations: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def read_relations(spark: SparkSession, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Catalog tables or views by name."""
-    return {name: spark.table(name) for name in names}
+def read_relations(spark: SparkSession, names: Iterable[str], cache: bool = False) -> dict[str, DataFrame]:
+    """Catalog tables or views by name; ``cache`` keeps small ones, such as the marts, for many reads."""
+    relations = {name: spark.table(name) for name in names}
+    return {name: df.cache() for name, df in relations.items()} if cache else relations
