@@ -36,7 +36,8 @@ def lenient_bigint(df: DataFrame, name: str) -> Column:
 def lenient_date(df: DataFrame, name: str) -> Column:
     value = F.col(name)
     if isinstance(df.schema[name].dataType, T.StringType):
-        return F.try_to_date(value, "yyyy-M-d")
+        # The cast alone would also take a bare year or cut off a time of day.
+        return F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), value.try_cast("date"))
     return value.cast("date")
 
 

@@ -52,8 +52,8 @@ def weather_daily_max(weather: DataFrame) -> DataFrame:
 def attach_weather(shipments: DataFrame, daily: DataFrame) -> DataFrame:
     """Worst weather at the origin on the departure day: no report means severity 0 and the median wind.
 
-    The median is the one over the joined rows. It comes from shipment counts per port and day, so the wide
-    rows are not needed for it. ``shipments`` and ``daily`` are read by two branches and should be tables.
+    The median is the one over the joined rows. It comes from shipment counts per port and day, merged to one
+    row per wind speed and written out, so the wide rows are not needed for it.
     """
     keys = ["origin_port_id", "departure_date"]
     side = daily.select(
@@ -63,7 +63,8 @@ def attach_weather(shipments: DataFrame, daily: DataFrame) -> DataFrame:
         F.col("max_wind").alias("origin_wind_kmh"),
     )
     per_day = shipments.groupBy(*keys).agg(F.count("*").alias("_shipments"))
-    median = weighted_median(per_day.join(side, keys), "origin_wind_kmh", "_shipments").scalar()
+    winds = per_day.join(side, keys).groupBy("origin_wind_kmh").agg(F.sum("_shipments").alias("_shipments"))
+    median = weighted_median(stage(winds, "winds"), "origin_wind_kmh", "_shipments").scalar()
     return shipments.join(side, keys, "left").withColumns(
         {
             "origin_weather_severity": F.coalesce(F.col("origin_weather_severity").cast("double"), F.lit(0.0)),
@@ -110,7 +111,7 @@ def join_master(
 ) -> DataFrame:
     """Every cleaned shipment with its carrier, both ports, the weather and the route label.
 
-    ``shipments`` and ``daily`` (see ``weather_daily_max``) should be written tables.
+    ``daily`` (see ``weather_daily_max``) should be a written table.
     """
     carriers, ports, daily = (broadcast_if_small(side, limit) for side in (carriers, ports, daily))
     wide = attach_carrier(attach_weather(shipments, daily), carriers)
@@ -123,9 +124,12 @@ def join_master(
 def build_master(
     shipments: DataFrame, carriers: DataFrame, ports: DataFrame, weather: DataFrame, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """``join_master`` over lazy inputs: what feeds two branches goes to the shared folder first."""
-    daily = stage(weather_daily_max(weather), "weather-daily")
-    return join_master(stage(shipments, "shipments"), carriers, ports, daily, limit)
+    """``join_master`` over lazy inputs.
+
+    The daily weather is measured and feeds two branches, so it goes to the shared folder first. Shipments are
+    left lazy: their second branch reads only port and day, which is less work than writing the wide rows.
+    """
+    return join_master(shipments, carriers, ports, stage(weather_daily_max(weather), "weather-daily"), limit)
 
 
 def with_route_days(

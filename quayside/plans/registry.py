@@ -98,7 +98,7 @@ def schema_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def carrier_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.carrier_kpis(shipments(spark, sf), carriers(spark, sf))
+    return marts.carrier_kpis(shipments(spark, sf), carrier_side(spark, sf))
 
 
 def port_congestion(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,7 +106,7 @@ def port_congestion(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def route_performance(spark: SparkSession, sf: str, min_shipments: int = 5) -> DataFrame:
-    return marts.route_performance(shipments(spark, sf), ports(spark, sf), min_shipments)
+    return marts.route_performance(shipments(spark, sf), port_side(spark, sf), min_shipments)
 
 
 def monthly_kpis(spark: SparkSession, sf: str) -> DataFrame:
