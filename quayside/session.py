@@ -32,14 +32,17 @@ def shared_dir(spark: SparkSession) -> str:
     A local session that names none gets a temporary one; a cluster that names none is an error, because a
     folder of one machine would lose the table with that machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="quayside-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="quayside-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if context.getCheckpointDir() is None:
+        # Boosting cuts its lineage every ten trees, but only where a checkpoint folder is set.
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

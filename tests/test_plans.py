@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from quayside.functions.joins import broadcast_if_small, measured_bytes
@@ -67,3 +68,32 @@ def test_unused_weather_join_reads_no_weather(spark, sf_dir):
     daily = enrich.weather_daily_max(registry.weather(spark, sf_dir))
     wide = enrich.attach_weather(ships, daily).select("shipment_id", "cost_usd")
     assert "Join" not in plan(wide)
+
+
+def test_hot_carrier_is_split_in_the_shuffle_join(spark):
+    """A third of the shipments on one carrier, too many carriers to broadcast."""
+    ships = spark.range(120_000).selectExpr(
+        "id as shipment_id", "if(id % 3 = 0, 'hot', 'C' || id) as carrier_id", "md5(cast(id as string)) as note"
+    )
+    carriers = spark.range(120_000).selectExpr(
+        "if(id = 0, 'hot', 'C' || id) as carrier_id", "'n' || id as carrier_name", "'Air' as carrier_type",
+        "4.0D as rating", "'X' as country",
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        wide = enrich.attach_carrier(ships.repartition(8), broadcast_if_small(carriers, limit=0))
+        counted = wide.groupBy("carrier_name").agg(F.count("*").alias("count"), F.max("note"))
+        rows = {r["carrier_name"]: r["count"] for r in counted.collect()}
+        assert rows["n0"] == 40_000 and len(rows) == 80_001
+        assert "skew=true" in plan(counted)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
