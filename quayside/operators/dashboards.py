@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import display as D
@@ -12,11 +12,20 @@ from quayside.functions import measures as M
 from quayside.functions.ordering import hash_order
 
 
-def selected(master: DataFrame, years: Sequence[int], regions: Sequence[str]) -> DataFrame:
-    return master.where(F.col("departure_year").isin(*years) & F.col("origin_region").isin(*regions))
+Years = Sequence[int] | None
+Regions = Sequence[str] | None
 
 
-def kpi_strip(master: DataFrame, years: Sequence[int], regions: Sequence[str]) -> DataFrame:
+def _picked(column: str, choice: Sequence | None) -> Column:
+    return F.col(column).isNotNull() if choice is None else F.col(column).isin(*choice)
+
+
+def selected(master: DataFrame, years: Years = None, regions: Regions = None) -> DataFrame:
+    """Rows of the chosen years and origin regions; ``None`` chooses every known one."""
+    return master.where(_picked("departure_year", years) & _picked("origin_region", regions))
+
+
+def kpi_strip(master: DataFrame, years: Years, regions: Regions) -> DataFrame:
     """The headline figures, as numbers and as shown."""
     figures = selected(master, years, regions).agg(
         F.count("*").alias("total_shipments"),
@@ -36,14 +45,14 @@ def kpi_strip(master: DataFrame, years: Sequence[int], regions: Sequence[str]) -
     )
 
 
-def monthly_trend(monthly: DataFrame, years: Sequence[int]) -> DataFrame:
+def monthly_trend(monthly: DataFrame, years: Years) -> DataFrame:
     """Volume and on-time share per month of the chosen years; regions do not apply."""
-    return monthly.where(F.substring("departure_month", 1, 4).isin(*[str(y) for y in years])).select(
-        "departure_month", "total_shipments", "on_time_pct"
-    )
+    dated = monthly.withColumn("_year", F.substring("departure_month", 1, 4))
+    chosen = dated.where(_picked("_year", None if years is None else [str(y) for y in years]))
+    return chosen.select("departure_month", "total_shipments", "on_time_pct")
 
 
-def delay_histogram(master: DataFrame, years: Sequence[int], regions: Sequence[str], max_bins: int = 20) -> DataFrame:
+def delay_histogram(master: DataFrame, years: Years, regions: Regions, max_bins: int = 20) -> DataFrame:
     """Delayed shipments per bin of whole days, in the narrowest of 1, 2, 5, 10, 20, ... days that fits.
 
     Shipments are counted per day first; the bins are merged from those counts.
@@ -91,7 +100,7 @@ def top_routes(routes: DataFrame, n: int = 15) -> DataFrame:
 
 
 def cost_delay_sample(
-    master: DataFrame, years: Sequence[int], regions: Sequence[str], n: int = 300, seed: int = 42
+    master: DataFrame, years: Years, regions: Regions, n: int = 300, seed: int = 42
 ) -> DataFrame:
     """A reproducible random sample of at most ``n`` shipments: the first ``n`` in hash order."""
     drawn = selected(master, years, regions).orderBy(hash_order("shipment_id", seed), "shipment_id").limit(n)
@@ -99,7 +108,7 @@ def cost_delay_sample(
 
 
 def carrier_compare(
-    master: DataFrame, years: Sequence[int], regions: Sequence[str], carrier_from: str, carrier_to: str
+    master: DataFrame, years: Years, regions: Regions, carrier_from: str, carrier_to: str
 ) -> DataFrame:
     """On-time share and mean cost of two carriers and their differences, in one pass."""
     name = F.col("carrier_name")
