@@ -1,4 +1,4 @@
-"""Every subcommand on the smallest tables."""
+"""The subcommands on the smallest tables; training and scoring are tested with the models."""
 
 import pytest
 
@@ -6,26 +6,22 @@ from quayside import __main__ as cli
 from quayside.plans import registry
 
 
-@pytest.fixture(scope="module")
-def folders(spark, sf_dir, tmp_path_factory):
-    return registry.written_csvs(spark, sf_dir), str(tmp_path_factory.mktemp("processed")), str(tmp_path_factory.mktemp("models"))
-
-
-def test_stages(spark, folders, capsys, monkeypatch):
-    raw, processed, saved = folders
+def test_stages(spark, sf_dir, tmp_path, capsys):
+    raw, processed = registry.written_csvs(spark, sf_dir), str(tmp_path)
     cli.main(["audit", raw])
     assert "carrier_type" in capsys.readouterr().out
 
     cli.main(["etl", raw, processed])
     assert "rolling_3m_avg_delay" in capsys.readouterr().out
 
-    cli.main(["dashboard", processed, "--years", "1996", "1997", "--compare", "Supplier#000000003", "Supplier#000000007"])
+    cli.main(["dashboard", processed, "--years", "1996", "--compare", "Supplier#000000003", "Supplier#000000007"])
     out = capsys.readouterr().out
     assert "carrier_compare" in out and "/shipment" in out
 
-    monkeypatch.setattr(cli.training.run_training, "__defaults__", ((3, 3, 0.3), (3, 3, 0.3)))
-    cli.main(["train", processed, saved])
-    assert "feature_importance" in capsys.readouterr().out
 
-    cli.main(["whatif", processed, saved, "C000003", "C000007", "--sample", "10"])
-    assert "simulated_probability" in capsys.readouterr().out
+def test_arguments():
+    args = cli.parser().parse_args(["whatif", "p", "m", "C1", "C2", "--swap", "id"])
+    assert (args.run, args.carrier_from, args.carrier_to, args.sample, args.swap) == (cli.whatif, "C1", "C2", 50, "id")
+    assert cli.parser().parse_args(["train", "p", "m"]).run is cli.train
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args([])

@@ -85,7 +85,9 @@ def test_hot_carrier_is_split_in_the_shuffle_join(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "5",
     }
+    before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
@@ -95,5 +97,5 @@ def test_hot_carrier_is_split_in_the_shuffle_join(spark):
         assert rows["n0"] == 40_000 and len(rows) == 80_001
         assert "skew=true" in plan(counted)
     finally:
-        for key in settings:
-            spark.conf.unset(key)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
