@@ -108,7 +108,8 @@ def carrier_delay_rank(kpis: DataFrame) -> DataFrame:
     value, and both measures are rounded, so the window runs over the few distinct values instead.
     """
     measures = kpis.select((-F.col("performance_score")).alias("perf"), F.col("avg_delay_days").alias("delay"))
-    held = measures.unpivot([], measures.columns, "kind", "value").groupBy("kind", "value").agg(F.count("*").alias("held"))
+    long = measures.unpivot([], measures.columns, "kind", "value")
+    held = long.groupBy("kind", "value").agg(F.count("*").alias("held"))
     order = {"perf": F.col("value").asc_nulls_last(), "delay": F.col("value").asc_nulls_first()}
 
     def ranks(kind: str) -> DataFrame:

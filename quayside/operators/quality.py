@@ -53,8 +53,8 @@ def shipment_quality_metrics(shipments: DataFrame) -> DataFrame:
 
 def row_counts(relations: dict[str, DataFrame]) -> DataFrame:
     """Rows of each named relation: the check after a load."""
-    parts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("relation"), "n_rows") for n, df in relations.items()]
-    return reduce(DataFrame.unionByName, parts)
+    counts = {name: df.agg(F.count("*").alias("n_rows")) for name, df in relations.items()}
+    return reduce(DataFrame.unionByName, [n.select(F.lit(name).alias("relation"), "n_rows") for name, n in counts.items()])
 
 
 def preview(df: DataFrame, key: str, n: int = 3) -> DataFrame:
