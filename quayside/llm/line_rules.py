@@ -11,6 +11,8 @@ whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,69 +56,87 @@ def cleaned(text: Column) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda line: ~failing_line(line)), "\n")
 
 
+PLACE_BITS = 30  # a text has fewer words than 2 ** 30, as its bytes are counted with 31 bits
+
+
 def repeated_words(tokens: Column, n: Column) -> Column:
     """Words that stand in a 3-word window found twice or more in the text.
 
-    Windows are told apart by a 64-bit hash. Sorted by hash and place, a repeated window stands next to its like.
+    Windows are first sorted as plain numbers, the upper bits of their hash before their place: only those next to
+    one with the same bits can be repeated. Windows are told apart by the whole 64-bit hash.
     """
-    windows = F.transform(
+
+    def window(i: Column) -> Column:
+        return F.xxhash64(F.get(tokens, i), F.get(tokens, i + 1), F.get(tokens, i + 2))
+
+    def beside_their_like(s: Column, mark: Callable[[Column], Column], place: Callable[[Column], Column]) -> Column:
+        def like(e: Column, i: Column) -> Column:
+            return F.coalesce(mark(F.get(s, i)) == mark(e), F.lit(False))
+
+        return F.array_compact(F.transform(s, lambda e, i: F.when(like(e, i - 1) | like(e, i + 1), place(e))))
+
+    def exact(places: Column) -> Column:
+        hashed = F.sort_array(F.transform(places, lambda i: F.struct(window(i).alias("h"), i.alias("at"))))
+        return let(hashed, lambda s: beside_their_like(s, lambda e: e["h"], lambda e: e["at"]))
+
+    def covered(starts: Column) -> Column:
+        every = F.concat(starts, F.transform(starts, lambda x: x + 1), F.transform(starts, lambda x: x + 2))
+        return F.size(F.array_distinct(every))
+
+    low = (1 << PLACE_BITS) - 1
+    numbers = F.transform(
         F.sequence(F.lit(0), F.greatest(n - 3, F.lit(0))),
-        lambda i: F.struct(F.xxhash64(F.get(tokens, i), F.get(tokens, i + 1), F.get(tokens, i + 2)).alias("h"), i.alias("at")),
+        lambda i: window(i).bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("bigint")),
+    )
+    near = let(
+        F.sort_array(numbers),
+        lambda s: beside_their_like(s, lambda e: F.shiftright(e, PLACE_BITS), lambda e: e.bitwiseAND(F.lit(low)).cast("int")),
     )
+    return F.when(n >= 3, let(near, lambda places: let(exact(places), covered))).otherwise(F.lit(0))
 
-    def covered(s: Column) -> Column:
-        def like(e: Column, i: Column) -> Column:
-            return F.coalesce(F.get(s, i)["h"] == e["h"], F.lit(False))
 
-        twice = F.transform(s, lambda e, i: F.when(like(e, i - 1) | like(e, i + 1), e["at"]))
-        starts = F.array_compact(twice)
+def judged(text: Column) -> Column:
+    """All results of a text as one struct.
+
+    Intermediate results are bound with ``let``, not kept as columns: the optimizer would copy the expressions of
+    columns into the functions that run per element.
+    """
+
+    def with_clean(n: Column, repeats: Column, clean_text: Column, clean_words: Column, others: list[Column]) -> Column:
+        base_failed = (n < 50) | (repeats * 100 > n * 50)
+        return F.struct(
+            clean_text.alias("clean_text"),
+            n.cast("bigint").alias("n_words"),
+            *others,
+            repeats.cast("bigint").alias("n_repeat_words"),
+            clean_words.cast("bigint").alias("n_clean_words"),
+            base_failed.alias("base_failed"),
+            (~base_failed & (clean_words * 100 >= n * KEEP_PERCENT)).alias("kept"),
+        )
+
+    def with_words(tokens: Column, n: Column) -> Column:
+        with_word = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
+        others = [
+            F.length(F.array_join(tokens, "")).cast("bigint").alias("word_chars"),
+            F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
+            let(with_word, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
+        ]
         return let(
-            starts,
-            lambda at: F.size(
-                F.array_distinct(F.concat(at, F.transform(at, lambda x: x + 1), F.transform(at, lambda x: x + 2)))
+            repeated_words(tokens, n),
+            lambda repeats: let(
+                cleaned(text),
+                lambda kept: let(F.regexp_count(kept, F.lit(WORD)), lambda m: with_clean(n, repeats, kept, m, others)),
             ),
         )
 
-    return F.when(n >= 3, let(F.array_sort(windows), covered)).otherwise(F.lit(0))
+    return let(words(text), lambda tokens: let(F.size(tokens), lambda n: with_words(tokens, n)))
 
 
 def judge_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, the cleaned text, the counts of the base check, ``base_failed`` and ``kept``."""
-    return _judged(docs.select(F.col(key), whole(text).alias("_text")), "_text").select(
-        key,
-        F.col("_clean").alias("clean_text"),
-        *[F.col(f"_{c}").cast("bigint").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines")],
-        F.col("_n_repeat_words").cast("bigint").alias("n_repeat_words"),
-        F.col("_clean_words").cast("bigint").alias("n_clean_words"),
-        F.col("_base_failed").alias("base_failed"),
-        F.col("_kept").alias("kept"),
-    )
-
-
-def _judged(df: DataFrame, text: str) -> DataFrame:
-    """Adds the results under names with a leading underscore."""
-    body, tokens, n = F.col(text), F.col("_words"), F.col("_n_words")
-    with_word = F.filter(F.split(body, "\n"), lambda line: line.rlike(WORD))
-    return (
-        df.withColumn("_words", words(body))
-        .withColumn("_n_words", F.size("_words"))
-        .withColumns(
-            {
-                "_word_chars": F.length(F.array_join(tokens, "")),
-                "_n_symbols": F.regexp_count(body, F.lit(SYMBOLS)),
-                "_n_dup_lines": let(with_word, lambda x: F.size(x) - F.size(F.array_distinct(x))),
-                "_n_repeat_words": repeated_words(tokens, n),
-                "_clean": cleaned(body),
-            }
-        )
-        .withColumn("_clean_words", F.regexp_count("_clean", F.lit(WORD)))
-        .withColumn("_base_failed", (n < 50) | (F.col("_n_repeat_words") * 100 > n * 50))
-        .withColumn("_kept", ~F.col("_base_failed") & (F.col("_clean_words") * 100 >= n * KEEP_PERCENT))
-    )
+    return docs.select(F.col(f"`{key}`").alias("_key"), judged(whole(text)).alias("_j")).select(F.col("_key").alias(key), "_j.*")
 
 
 def clean(docs: DataFrame, text: str = "text") -> DataFrame:
     """The kept documents, all columns, their texts as they are."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    held = docs.select(F.struct(*columns).alias("_row"), whole(text).alias("_text"))
-    return _judged(held, "_text").where("_kept").select("_row.*")
+    return docs.where(judged(whole(text))["kept"])
