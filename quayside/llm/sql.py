@@ -1,7 +1,77 @@
-"""SQL for the queries here that SQL can express, for comparison in another engine."""
+"""SQL for the queries here that SQL can express, for comparison in another engine.
+
+Line rules and mixing have one. Templates grown and merged level by level, fingerprints, trained classifiers, compression,
+byte-pair merging, packing and the multi-index have none; tests hold them against plain Python.
+"""
 
 from __future__ import annotations
 
+_WORD = r"[^\x20\x09-\x0D]+"
+# The rules' patterns are spelled out again, so that an error in theirs shows.
+_MENU = (
+    r"(?i)^[^\pL\pN]*(home|menu|log ?in|sign (in|up)|register|next( page)?|prev(ious)?( page)?|back to top|"
+    r"skip to (main )?content|read more|search|site ?map|contact( us)?|about us|share|print|reply)[^\pL\pN]*$"
+)
+_LEGAL = (
+    r"(?i)(all rights reserved|copyright (\(c\)|©|[0-9])|privacy policy|terms of (use|service)|"
+    r"(accept|use[s]?) (all )?cookies|enable javascript|lorem ipsum|licensed under|permission is hereby granted|"
+    r"without warranty|subscribe to our|click here)"
+)
+
+
+def _count(text: str, pattern: str) -> str:
+    return f"len(regexp_extract_all({text}, '{pattern}'))"
+
+
+_N = _count("l", _WORD)
+_FAILS = f"""{_N} > 0 and (
+    {_count("l", "[#*$%&|<>]")} >= {_N} or {_count("l", "!!")} * 2 >= {_N}
+    or ({_N} >= 40 and not regexp_matches(l, '[.!?,;:。！？、…]'))
+    or {_count("l", "[|»›]")} * 3 >= {_N} or ({_N} <= 4 and regexp_matches(l, '{_MENU}'))
+    or ({_N} <= 40 and regexp_matches(l, '{_LEGAL}')))"""
+
+LINE_RULES = f"""
+with texts as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+cut as (select *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{_WORD}')) as lines,
+    array_to_string(list_filter(string_split(t, chr(10)), lambda l: not ({_FAILS})), chr(10)) as clean from texts),
+places as (select rid, w, unnest(range(1, len(w) - 1)) as i from cut where len(w) >= 3),
+windows as (select rid, i, count(*) over (partition by rid, w[i], w[i + 1], w[i + 2]) as n from places),
+covered as (select rid, count(distinct j) as n from
+    (select rid, unnest([i, i + 1, i + 2]) as j from windows where n > 1) group by rid),
+counted as (select doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    {_count("t", "[#*$%&|<>]")}::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(n, 0)::bigint as n_repeat_words, {_count("clean", _WORD)} as n_clean
+  from cut left join covered using (rid)),
+based as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and n_clean * 100 >= n_words * 70 as kept
+from based"""
+
+# A source is at its cap if the words left after all caps up to its own, by cap per weight, would overfill it.
+MIXING = """
+with sized as (select doc_id, source, coalesce(text, '') as t,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size from documents),
+places as (select *, md5('0/' || coalesce(doc_id::varchar, '') || '/' || md5(t)) as place from sized),
+sources as (select source, sum(size)::bigint as source_size,
+    [3, 1, 2][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::bigint as w from sized group by source),
+lined as (select *, sum(source_size * 2) over upto - source_size * 2 as caps, sum(w) over () - sum(w) over upto + w as rest,
+    (select sum(size) from sized) * 3 as thrice
+  from sources window upto as (order by source_size / w, source nulls last rows unbounded preceding)),
+judged as (select *, (thrice - 2 * caps) * w > 4 * source_size * rest as above from lined),
+filled as (select source, source_size, w, above, thrice - 4 * coalesce(sum(source_size) filter (where above) over (), 0) as twice_left,
+    sum(w) filter (where not above) over () as open_w from judged),
+aimed as (select source, source_size, case when above then (2 * source_size)::double
+    else (twice_left * w)::double / (2 * open_w)::double end as target from filled),
+given as (select *, round_even(target, 0)::bigint as words, greatest(source_size, 1) as per from aimed),
+placed as (select p.*, g.source_size, g.target, words // per as passes, words % per as rest,
+    sum(size) over (partition by p.source order by place) as upto, sum(size) over (partition by p.source, place) as own
+  from places p join given g on p.source is not distinct from g.source)
+select doc_id, size, source_size::bigint as source_size, target,
+  (size * (passes + case when upto <= rest or (upto - own < rest and upto - rest < rest - (upto - own)) then 1 else 0 end)
+  )::bigint as taken
+from placed"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_rules": LINE_RULES, "op7_mixing": MIXING}
