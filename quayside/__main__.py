@@ -10,27 +10,30 @@ from quayside.operators import marts, quality
 from quayside.operators.models import DelayModels
 from quayside.operators.whatif import whatif_carrier_switch
 from quayside.plans import dashboard, etl, training
+from quayside.session import clear_staged
 from quayside.sources import files
 
 
 def audit(spark: SparkSession, args: argparse.Namespace) -> None:
-    raw = files.read_raw_tables(spark, args.raw)
-    for report in (quality.row_audit, quality.schema_audit, quality.null_audit):
+    raw = files.read_raw_tables(spark, args.raw, multiline=not args.one_line)
+    for report in (quality.table_audit, quality.schema_audit):
         quality.audit_tables(report, raw).show(100, truncate=False)
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = etl.run_etl(spark, args.raw, args.processed)
+    tables = etl.run_etl(spark, args.raw, args.processed, multiline=not args.one_line)
+    for report in ("audit", "schema_audit"):
+        tables[report].show(100, truncate=False)
     quality.shipment_quality_metrics(tables["shipments"]).show()
-    views = etl.kpi_views(tables)
-    etl.post_load_check(views["v_carrier_kpis"], views["v_monthly_kpis"]).show()
-    marts.carrier_delay_rank(views["v_carrier_kpis"]).orderBy("perf_rank", "carrier_id").show()
-    marts.monthly_delay_rolling_avg(views["v_monthly_kpis"]).orderBy("departure_month").show()
+    etl.post_load_check(tables["v_carrier_kpis"], tables["v_monthly_kpis"]).show()
+    marts.carrier_delay_rank(tables["v_carrier_kpis"]).orderBy("perf_rank", "carrier_id").show()
+    marts.monthly_delay_rolling_avg(tables["v_monthly_kpis"]).orderBy("departure_month").show()
+    if args.database:
+        etl.save(tables, args.database)
 
 
 def show(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = files.read_parquet_tables(spark, args.processed, files.TABLE_ORDER)
-    relations = {**tables, **etl.kpi_views(tables)}
+    relations = etl.read_tables(spark, args.processed)
     for name, df in dashboard.datasets(relations, args.years, args.regions, args.compare).items():
         print(name)
         df.show(truncate=False)
@@ -63,8 +66,10 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(place)
         return sub
 
-    command("audit", audit, "raw")
-    command("etl", load, "raw", "processed")
+    delivered = [command("audit", audit, "raw"), command("etl", load, "raw", "processed")]
+    for sub in delivered:
+        sub.add_argument("--one-line", action="store_true", help="no value holds a line break: tasks share a file")
+    delivered[1].add_argument("--database", help="also replace the tables of this catalog database")
     command("train", train, "processed", "models")
     shown = command("dashboard", show, "processed")
     shown.add_argument("--years", nargs="*", type=int)
@@ -78,7 +83,11 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(SparkSession.builder.appName("quayside").getOrCreate(), args)
+    spark = SparkSession.builder.appName("quayside").getOrCreate()
+    try:
+        args.run(spark, args)
+    finally:
+        clear_staged(spark)
 
 
 if __name__ == "__main__":

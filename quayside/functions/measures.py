@@ -66,20 +66,27 @@ def is_delayed(delay: Column) -> Column:
 
 def half_up(value: Column, digits: int) -> Column:
     """Round half away from zero on the decimal value, so that partial sums in any order give one result."""
-    return F.round(value.try_cast("decimal(38,9)"), digits).cast("double")
+    # From 1e29 up a double has no digits left to round; those, infinities and NaN stay as they are.
+    return F.coalesce(F.round(value.try_cast("decimal(38,9)"), digits).cast("double"), value.cast("double"))
 
 
-def cents(cost: Column) -> Column:
-    return cost.try_cast("decimal(18,2)")
+def money(cost: Column) -> Column:
+    """Exact to four decimals, up to 1e26; null for what does not fit."""
+    return cost.try_cast("decimal(30,4)")
 
 
 def total_cost(cost: Column) -> Column:
-    """Exact sum of money; adding doubles would depend on the order of the rows."""
-    return F.sum(cents(cost)).cast("double")
+    """Exact sum of money; adding doubles would depend on the order of the rows.
+
+    A cost that does not fit the decimal (infinite, NaN, or 1e26 and more) makes the sum one of doubles, so that it
+    shows in the result instead of vanishing from it.
+    """
+    unfit = F.count_if(cost.isNotNull() & money(cost).isNull())
+    return F.when(unfit > 0, F.sum(cost)).otherwise(F.sum(money(cost)).cast("double"))
 
 
 def mean_cost(cost: Column) -> Column:
-    return total_cost(cost) / F.count(cents(cost))
+    return total_cost(cost) / F.count(cost)
 
 
 def count_true(flag: Column) -> Column:

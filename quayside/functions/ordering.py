@@ -75,11 +75,14 @@ def label_cuts(df: DataFrame, label: str, hashed: str, fraction: float) -> DataF
         counts = rows.groupBy(label, F.substring(hashed, 1, digits).alias("_prefix")).agg(
             F.count("*").alias("_n"), F.max(quota).alias("_given")
         )
+        # A quota of all rows ends with the last prefix.
+        whole_last = (F.col("_quota") == F.col("_all")) & (F.col("_upto") == F.col("_all"))
         return (
             counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
             .withColumn("_all", F.sum("_n").over(by_label))
             .withColumn("_quota", F.coalesce("_given", F.floor(F.col("_all") * F.lit(fraction))))
-            .where((F.col("_before") <= F.col("_quota")) & (F.col("_quota") < F.col("_before") + F.col("_n")))
+            .withColumn("_upto", F.col("_before") + F.col("_n"))
+            .where((F.col("_before") <= F.col("_quota")) & ((F.col("_quota") < F.col("_upto")) | whole_last))
             .select(label, F.col("_prefix").alias("_edge"), (F.col("_quota") - F.col("_before")).alias("_left"))
         )
 

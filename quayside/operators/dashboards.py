@@ -36,7 +36,7 @@ def kpi_strip(master: DataFrame, years: Years, regions: Regions) -> DataFrame:
     )
     return figures.withColumns(
         {
-            "total_shipments_text": D.fixed(F.col("total_shipments"), 0),
+            "total_shipments_text": D.grouped(F.col("total_shipments"), 0),
             "on_time_rate_text": D.percent(F.col("on_time_rate")),
             "avg_delay_delayed_text": D.days(F.col("avg_delay_delayed")),
             "avg_cost_usd_text": D.dollars(F.col("avg_cost_usd")),
@@ -46,10 +46,10 @@ def kpi_strip(master: DataFrame, years: Years, regions: Regions) -> DataFrame:
 
 
 def monthly_trend(monthly: DataFrame, years: Years) -> DataFrame:
-    """Volume and on-time share per month of the chosen years; regions do not apply."""
+    """Volume and on-time share per month of the chosen years, in order of time; regions do not apply."""
     dated = monthly.withColumn("_year", F.substring("departure_month", 1, 4))
     chosen = dated.where(_picked("_year", None if years is None else [str(y) for y in years]))
-    return chosen.select("departure_month", "total_shipments", "on_time_pct")
+    return chosen.select("departure_month", "total_shipments", "on_time_pct").orderBy("departure_month")
 
 
 def delay_histogram(master: DataFrame, years: Years, regions: Regions, max_bins: int = 20) -> DataFrame:
@@ -131,7 +131,7 @@ def carrier_compare(
         D.percent(F.col("from_on_time_rate")).alias("from_on_time_text"),
         D.percent(F.col("to_on_time_rate")).alias("to_on_time_text"),
         D.percent(rate_change).alias("on_time_change_text"),
-        F.concat(F.lit("$"), D.signed(cost_change), F.lit("/shipment")).alias("cost_change_text"),
+        F.concat(D.signed_dollars(cost_change), F.lit("/shipment")).alias("cost_change_text"),
     )
 
 

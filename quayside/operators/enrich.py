@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quayside.functions import measures as M
 from quayside.functions.joins import BROADCAST_BYTES, broadcast_if_small
 from quayside.functions.ordering import weighted_median
-from quayside.schema import DEFAULT_ROUTE_DAYS, ROUTE_DAY_BOUNDS
+from quayside.schema import DEFAULT_ROUTE_DAYS, MASTER_COLUMNS, ROUTE_DAY_BOUNDS
 from quayside.session import stage
 
 
@@ -73,39 +73,6 @@ def attach_weather(shipments: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
-MASTER_COLUMNS = [
-    "shipment_id",
-    "origin_port_id",
-    "destination_port_id",
-    "carrier_id",
-    "departure_date",
-    "scheduled_arrival",
-    "actual_arrival",
-    "cost_usd",
-    "status",
-    "delay_days",
-    "is_on_time",
-    "transit_days",
-    "departure_month",
-    "departure_year",
-    "carrier_name",
-    "carrier_type",
-    "rating",
-    "carrier_country",
-    "origin_port_name",
-    "origin_region",
-    "origin_congestion",
-    "origin_congestion_level",
-    "dest_port_name",
-    "dest_region",
-    "dest_congestion",
-    "dest_congestion_level",
-    "origin_weather_severity",
-    "origin_wind_kmh",
-    "route",
-]
-
-
 def join_master(
     shipments: DataFrame, carriers: DataFrame, ports: DataFrame, daily: DataFrame, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -126,10 +93,11 @@ def build_master(
 ) -> DataFrame:
     """``join_master`` over lazy inputs.
 
-    The daily weather is measured and feeds two branches, so it goes to the shared folder first. Shipments are
-    left lazy: their second branch reads only port and day, which is less work than writing the wide rows.
+    Shipments and the daily weather feed two branches each, so both go to the shared folder first: the source of the
+    shipments is read once.
     """
-    return join_master(shipments, carriers, ports, stage(weather_daily_max(weather), "weather-daily"), limit)
+    daily = stage(weather_daily_max(weather), "weather-daily")
+    return join_master(stage(shipments, "shipments"), carriers, ports, daily, limit)
 
 
 def with_route_days(

@@ -9,6 +9,7 @@ from quayside.functions import measures as M
 from quayside.functions.joins import BROADCAST_BYTES
 from quayside.functions.ordering import hash_order, label_cuts, running_total
 
+# The columns that are encoded, in order.
 CATEGORIES = ["carrier_id", "origin_port_id", "destination_port_id", "origin_region", "dest_region", "carrier_type"]
 
 # The model inputs, in order.

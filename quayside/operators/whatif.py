@@ -30,12 +30,14 @@ def whatif_carrier_switch(
     if swap not in ("profile", "id"):
         raise ValueError(f"swap must be 'profile' or 'id', not {swap!r}")
     current = master.where(F.col("carrier_id") == carrier_from).orderBy("shipment_id").limit(n_sample)
-    moved = current.withColumn("carrier_id", F.lit(carrier_to))
+    # Each of the few shipments stands twice, as it is and moved, so that they are looked for once.
+    both = current.withColumn("_moved", F.explode(F.array(F.lit(False), F.lit(True))))
+    moved = {"carrier_id": F.lit(carrier_to)}
     if swap == "profile":
-        profile = carriers.where(F.col("carrier_id") == carrier_to).select("carrier_id", "rating", "carrier_type")
-        moved = moved.drop("rating", "carrier_type").join(profile, "carrier_id", "left")
-
-    both = current.withColumn("_moved", F.lit(False)).unionByName(moved.withColumn("_moved", F.lit(True)))
+        profile = F.struct(F.first("rating").alias("rating"), F.first("carrier_type").alias("carrier_type"))
+        found = carriers.where(F.col("carrier_id") == carrier_to).agg(profile.alias("p")).scalar()
+        moved |= {"rating": found["rating"], "carrier_type": found["carrier_type"]}
+    both = both.withColumns({c: F.when(F.col("_moved"), value).otherwise(F.col(c)) for c, value in moved.items()})
     scored = score_delay(engineer_features(both, codes), classifier)
     figures = scored.agg(
         F.count_if(~F.col("_moved")).alias("shipments"),

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.operators import marts
 from quayside.operators.clean import CLEANERS
 from quayside.operators.enrich import join_master, weather_daily_max
-from quayside.operators.quality import row_counts
+from quayside.operators.quality import audit_tables, row_counts, schema_audit, table_audit
 from quayside.session import stage
 from quayside.sources import files
 
@@ -18,14 +19,25 @@ def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: CLEANERS[name](df) for name, df in raw.items()}
 
 
-def run_etl(spark: SparkSession, raw_dir: str, out_dir: str) -> dict[str, DataFrame]:
-    """Clean and write the tables under ``out_dir``, then build and write the wide table from them."""
-    files.write_parquet_tables(clean_all(files.read_raw_tables(spark, raw_dir)), out_dir)
+def run_etl(spark: SparkSession, raw_dir: str, out_dir: str, multiline: bool = True) -> dict[str, DataFrame]:
+    """Audit what was delivered, clean and write the tables under ``out_dir``, then the wide table and the marts.
+
+    The result has the audit beside the tables, as ``audit`` and ``schema_audit``.
+    """
+    raw = files.read_raw_tables(spark, raw_dir, multiline=multiline)
+    audit = stage(audit_tables(table_audit, raw), "audit")
+    files.write_parquet_tables(clean_all(raw), out_dir)
     tables = files.read_parquet_tables(spark, out_dir, CLEANERS)
     daily = stage(weather_daily_max(tables["weather"]), "weather-daily")
     master = join_master(tables["shipments"], tables["carriers"], tables["ports"], daily)
     files.write_parquet_tables({"master": master}, out_dir)
-    return files.read_parquet_tables(spark, out_dir, files.TABLE_ORDER)
+    files.write_marts(kpi_views(tables), out_dir)
+    return read_tables(spark, out_dir) | {"audit": audit, "schema_audit": audit_tables(schema_audit, raw)}
+
+
+def read_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """Tables, wide table and marts as ``run_etl`` wrote them."""
+    return files.read_parquet_tables(spark, out_dir, [*files.TABLE_ORDER, *KPI_VIEWS])
 
 
 def kpi_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -38,9 +50,26 @@ def kpi_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def ordered_views(views: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Each mart in the order in which it is read: by score, congestion, delay and time; ties go by id."""
+    order = {
+        "v_carrier_kpis": [F.desc("performance_score"), "carrier_id"],
+        "v_port_congestion": [F.desc("congestion_index"), "port_id"],
+        "v_route_performance": [F.asc("avg_delay"), "origin_port_id", "destination_port_id"],
+        "v_monthly_kpis": ["departure_month"],
+    }
+    return {name: df.orderBy(*order[name]) for name, df in views.items()}
+
+
 def publish(tables: dict[str, DataFrame]) -> None:
-    """Make tables and KPI views available by name in the session."""
-    files.register_views({**tables, **kpi_views(tables)})
+    """Make tables and KPI views available by name in the session, written marts where there are any."""
+    views = {name: tables[name] for name in KPI_VIEWS if name in tables} or kpi_views(tables)
+    files.register_views({name: tables[name] for name in files.TABLE_ORDER} | ordered_views(views))
+
+
+def save(tables: dict[str, DataFrame], database: str | None = None) -> None:
+    """Replace tables, wide table and marts in the catalog, where they outlive the session."""
+    files.save_tables({name: df for name, df in tables.items() if name in [*files.TABLE_ORDER, *KPI_VIEWS]}, database)
 
 
 def post_load_check(carrier_kpis: DataFrame, monthly_kpis: DataFrame) -> DataFrame:

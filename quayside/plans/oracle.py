@@ -2,8 +2,34 @@
 
 from __future__ import annotations
 
-from quayside.plans.registry import CARRIER_FROM, CARRIER_TO, REGION_BOUNDS, REGIONS, YEARS
-from quayside.schema import NULL_TOKENS
+# The choices and values of the queries are spelled out again, so that an error in theirs shows.
+CARRIER_FROM, CARRIER_TO = "Supplier#000000003", "Supplier#000000007"
+YEARS, REGIONS = (1996, 1997, 1998), ("ASIA", "EUROPE")
+BOUNDS = """('ASIA', 'AMERICA', 14, 22), ('ASIA', 'EUROPE', 20, 30), ('ASIA', 'MIDDLE EAST', 8, 14),
+  ('EUROPE', 'AMERICA', 10, 16), ('EUROPE', 'MIDDLE EAST', 8, 14), ('MIDDLE EAST', 'EUROPE', 9, 15),
+  ('MIDDLE EAST', 'AMERICA', 18, 26), ('AFRICA', 'EUROPE', 6, 12)"""
+# Texts that stand for no value.
+NULL_TOKENS = [
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
 
 # Delivered tables ------------------------------------------------------------------------------------------
 
@@ -174,8 +200,9 @@ def _half_up(expression: str, digits: int) -> str:
     return f"cast(round(cast({expression} as decimal(38,9)), {digits}) as double)"
 
 
-_COST_SUM = "cast(sum(cast(cost_usd as decimal(18,2))) as double)"
-_COST_MEAN = f"({_COST_SUM} / count(cost_usd))"
+_COST_SUM = """case when count(*) filter (where cost_usd is not null and try_cast(cost_usd as decimal(30,4)) is null) > 0
+    then sum(cost_usd) else cast(sum(try_cast(cost_usd as decimal(30,4))) as double) end"""
+_COST_MEAN = f"(({_COST_SUM}) / count(cost_usd))"
 _DELAY_MEAN = "(cast(sum(delay_days) as double) / count(delay_days))"
 _TRANSIT_MEAN = "(cast(sum(transit_days) as double) / count(transit_days))"
 _ON_TIME_PCT = "(cast(count(*) filter (where is_on_time) as double) * 100.0::double / count(*))"
@@ -279,11 +306,28 @@ def _raw(select: str) -> str:
     return _sql(select, RAW_STEPS)
 
 
-def _null_counts(table: str, columns: list[str]) -> str:
-    return " union all ".join(
-        f"select '{table}' as table_name, '{c}' as column_name, count(*) - count({c}) as null_count from raw_{table}"
-        for c in columns
-    )
+DELIVERED = {
+    "carriers": ["carrier_id", "carrier_name", "carrier_type", "rating", "country", "fleet_size"],
+    "ports": ["port_id", "port_name", "country", "region", "congestion_index"],
+    "shipments": [
+        "shipment_id",
+        "origin_port_id",
+        "destination_port_id",
+        "carrier_id",
+        "departure_date",
+        "scheduled_arrival",
+        "actual_arrival",
+        "cost_usd",
+        "status",
+    ],
+    "weather": ["weather_id", "port_id", "weather_date", "condition", "wind_speed_kmh", "visibility_km"],
+}
+_AUDIT = " union all ".join(
+    f"select '{t}' as table_name, count(*) as n_rows, cast({len(columns)} as bigint) as n_columns, "
+    f"'{c}' as column_name, count(*) - count({c}) as null_count from raw_{t}"
+    for t, columns in DELIVERED.items()
+    for c in columns
+)
 
 
 def _rows(table: str, columns: int) -> str:
@@ -291,14 +335,16 @@ def _rows(table: str, columns: int) -> str:
 
 
 def _percent(x: str) -> str:
-    return f"coalesce(format('{{:,.1f}}', {x} * 100), 'nan') || '%'"
+    return f"coalesce(format('{{:.1f}}', {x} * 100), 'nan') || '%'"
 
 
 def _fixed(x: str, digits: int) -> str:
-    return f"coalesce(format('{{:,.{digits}f}}', {x}), 'nan')"
+    return f"coalesce(format('{{:.{digits}f}}', {x}), 'nan')"
+
 
+def _grouped(x: str) -> str:
+    return f"coalesce(format('{{:,.0f}}', {x}), 'nan')"
 
-_BOUNDS = ", ".join(f"('{o}', '{d}', {lo}, {hi})" for (o, d), (lo, hi) in REGION_BOUNDS.items())
 
 _STRIP_FIGURES = f"""
 select count(*) as total_shipments, avg(cast(is_on_time as int)) as on_time_rate,
@@ -311,13 +357,31 @@ _COMPARED = f"""
 select '{CARRIER_FROM}' as carrier_from, '{CARRIER_TO}' as carrier_to,
   avg(cast(is_on_time as int)) filter (where carrier_name = '{CARRIER_FROM}') as from_on_time_rate,
   avg(cast(is_on_time as int)) filter (where carrier_name = '{CARRIER_TO}') as to_on_time_rate,
-  cast(sum(cast(cost_usd as decimal(18,2))) filter (where carrier_name = '{CARRIER_FROM}') as double)
+  cast(sum(cast(cost_usd as decimal(30,4))) filter (where carrier_name = '{CARRIER_FROM}') as double)
     / count(cost_usd) filter (where carrier_name = '{CARRIER_FROM}') as from_avg_cost,
-  cast(sum(cast(cost_usd as decimal(18,2))) filter (where carrier_name = '{CARRIER_TO}') as double)
+  cast(sum(cast(cost_usd as decimal(30,4))) filter (where carrier_name = '{CARRIER_TO}') as double)
     / count(cost_usd) filter (where carrier_name = '{CARRIER_TO}') as to_avg_cost
 from picked"""
 
 
+_REPORT = """
+select class, support, round(case when hit + wrong = 0 then 0 else hit / (hit + wrong)::double end, 9) as precision,
+  round(case when hit + missed = 0 then 0 else hit / (hit + missed)::double end, 9) as recall,
+  round(case when hit = 0 then 0 else 2 * hit / (2 * hit + wrong + missed)::double end, 9) as f1,
+  round((tp + tn) / (tp + tn + fp + fn)::double, 9) as accuracy
+from (select *, unnest([{'class': 'Delayed', 'hit': tp, 'wrong': fp, 'missed': fn, 'support': tp + fn},
+    {'class': 'On-Time', 'hit': tn, 'wrong': fn, 'missed': fp, 'support': tn + fp}], recursive := true)
+  from (select count(*) filter (where a = 1 and p = 1) as tp, count(*) filter (where a = 0 and p = 1) as fp,
+      count(*) filter (where a = 1 and p = 0) as fn, count(*) filter (where a = 0 and p = 0) as tn
+    from (select delay_binary as a, ('0x' || left(md5(shipment_id), 1))::int % 2 as p from features)))"""
+
+_ERRORS = """
+select count(*) as support, round(avg(abs(3 - delay_days)), 6) as mae,
+  round(sqrt(avg((3 - delay_days) * (3 - delay_days))), 6) as rmse,
+  round(1 - sum((3 - delay_days) * (3 - delay_days)) / (var_pop(delay_days) * count(*)), 6) as r2
+from master where delay_days is not null"""
+
+
 def oracle_sql() -> dict[str, str]:
     tables = ["carriers", "ports", "shipments", "weather", "master"]
     views = ["v_carrier_kpis", "v_port_congestion", "v_route_performance", "v_monthly_kpis"]
@@ -332,41 +396,21 @@ def oracle_sql() -> dict[str, str]:
             " union all ".join(f"select '{t}' as relation, count(*) as n_rows from {t}" for t in tables + views)
         ),
         "schema_audit": _raw(
-            "select 'carriers' as table_name, 'fleet_size' as column_name, 'missing' as issue, "
-            "count(*) as n_rows from raw_carriers union all "
-            "select 'ports', 'congestion_index', 'missing', count(*) from raw_ports union all "
-            "select 'ports', 'congestion', 'extra', count(*) from raw_ports union all "
-            "select 'weather', 'station', 'extra', count(*) from raw_weather"
+            "select 'carriers' as table_name, 'fleet_size' as column_name, 'missing' as issue union all "
+            "select 'ports', 'congestion_index', 'missing' union all "
+            "select 'ports', 'congestion', 'extra' union all select 'weather', 'station', 'extra'"
         ),
         "null_audit": _raw(
-            "select * from ("
-            + " union all ".join(
-                _null_counts(t, c)
-                for t, c in {
-                    "carriers": ["carrier_id", "carrier_name", "carrier_type", "rating", "country", "fleet_size"],
-                    "ports": ["port_id", "port_name", "country", "region", "congestion_index"],
-                    "shipments": [
-                        "shipment_id",
-                        "origin_port_id",
-                        "destination_port_id",
-                        "carrier_id",
-                        "departure_date",
-                        "scheduled_arrival",
-                        "actual_arrival",
-                        "cost_usd",
-                        "status",
-                    ],
-                    "weather": [
-                        "weather_id",
-                        "port_id",
-                        "weather_date",
-                        "condition",
-                        "wind_speed_kmh",
-                        "visibility_km",
-                    ],
-                }.items()
+            f"select table_name, column_name, null_count from ({_AUDIT}) where null_count > 0"
+        ),
+        "etl_audit": _raw(_AUDIT),
+        "ports_csv_ingest": _raw("select * from raw_ports"),
+        "csv_tables": _sql("select * from carriers"),
+        "saved_tables": _sql(
+            " union all ".join(
+                f"select '{t}' as relation, count(*) as n_rows from {t}"
+                for t in ("carriers", "ports", "v_carrier_kpis", "v_monthly_kpis")
             )
-            + ") where null_count > 0"
         ),
         "row_audit": _raw(
             " union all ".join(
@@ -396,8 +440,8 @@ def oracle_sql() -> dict[str, str]:
   cast(coalesce(a.hi, b.hi, 20) as bigint) as max_days, count(*) as shipments,
   count(*) filter (where scheduled_arrival - departure_date between coalesce(a.lo, b.lo, 10)
     and coalesce(a.hi, b.hi, 20)) as planned_within
-from master left join (values {_BOUNDS}) a(o, d, lo, hi) on origin_region = a.o and dest_region = a.d
-  left join (values {_BOUNDS}) b(o, d, lo, hi) on origin_region = b.d and dest_region = b.o
+from master left join (values {BOUNDS}) a(o, d, lo, hi) on origin_region = a.o and dest_region = a.d
+  left join (values {BOUNDS}) b(o, d, lo, hi) on origin_region = b.d and dest_region = b.o
 group by 1, 2, 3, 4"""
         ),
         "delay_prior": _sql(
@@ -414,7 +458,7 @@ except select port_id, weather_date from weather"""
             f"""select *, format('{{:,}}', total_shipments) as total_shipments_text,
   {_percent("on_time_rate")} as on_time_rate_text,
   {_fixed("avg_delay_delayed", 1)} || ' days' as avg_delay_delayed_text,
-  '$' || {_fixed("avg_cost_usd", 0)} as avg_cost_usd_text,
+  '$' || {_grouped("avg_cost_usd")} as avg_cost_usd_text,
   {_fixed("avg_transit_days", 1)} || ' days' as avg_transit_days_text
 from ({_STRIP_FIGURES})"""
         ),
@@ -434,7 +478,7 @@ from picked where delay_days > 0 group by delay_days"""
         ),
         "top_routes": _sql(
             f"""select origin_port, dest_port, shipment_count, {_fixed("on_time_pct", 1)} || '%' as on_time_pct,
-  {_fixed("avg_delay", 1)} as avg_delay, '$' || {_fixed("avg_cost", 0)} as avg_cost,
+  {_fixed("avg_delay", 1)} as avg_delay, '$' || {_grouped("avg_cost")} as avg_cost,
   {_fixed("avg_transit_days", 1)} as avg_transit_days
 from (select * from v_route_performance
   order by v_route_performance.on_time_pct desc, origin_port_id, destination_port_id limit 15)"""
@@ -449,7 +493,7 @@ from (select * from v_route_performance
   {_percent("from_on_time_rate")} as from_on_time_text, {_percent("to_on_time_rate")} as to_on_time_text,
   {_percent("(to_on_time_rate - from_on_time_rate)")} as on_time_change_text,
   '$' || case when to_avg_cost - from_avg_cost >= 0 then '+' else '' end
-    || {_fixed("(to_avg_cost - from_avg_cost)", 0)} || '/shipment' as cost_change_text
+    || {_grouped("(to_avg_cost - from_avg_cost)")} || '/shipment' as cost_change_text
 from ({_COMPARED})"""
         ),
         "filter_options": _sql(
@@ -468,4 +512,24 @@ from ({_COMPARED})"""
             "select delay_binary, count(*) filter (where is_train) as n_train, "
             "count(*) filter (where not is_train) as n_test from split group by delay_binary"
         ),
+        "fixed_report": _sql(_REPORT),
+        "fixed_errors": _sql(_ERRORS),
+        "delay_classifier_metrics": _sql(
+            "select case delay_binary when 1 then 'Delayed' else 'On-Time' end as class, count(*) as support, "
+            "true as in_range from split where not is_train group by delay_binary"
+        ),
+        "delay_regressor_metrics": _sql(
+            "select count(*) as support, true as sound from split join master using (shipment_id) "
+            "where not is_train and delay_days > 0"
+        ),
+        "cost_model_metrics": _sql(
+            "select count(*) as support, true as sound from master where cost_usd is not null and "
+            "('0x' || left(md5(shipment_id || '-42'), 8))::bigint / 4294967296::double >= 0.8::double"
+        ),
+        "feature_importance": "select 13::bigint as features, 13::bigint as in_range, 1.0::double as total",
+        "score_shipments": _sql("select shipment_id, true as in_range, true as fits_prediction from master"),
+        "whatif_carrier_switch": _sql(
+            "select 'C000003' as carrier_from, 'C000003' as carrier_to, least(count(*), 50) as shipments, "
+            "0.0::double as change, '+0.0%' as change_text from master where carrier_id = 'C000003'"
+        ),
     }

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quayside.operators import features as X
 from quayside.operators import models
@@ -14,10 +15,11 @@ from quayside.session import stage
 
 @dataclass
 class Prepared:
-    """Label codes and the model inputs, both written to the shared folder."""
+    """Label codes and the model inputs with their marks of both splits, written to the shared folder."""
 
     codes: DataFrame
     inputs: DataFrame
+    marked: DataFrame
 
 
 def prepare(master: DataFrame) -> Prepared:
@@ -25,13 +27,15 @@ def prepare(master: DataFrame) -> Prepared:
     codes = stage(X.label_codes(master), "label-codes")
     kept = ["shipment_id", *X.COST_FEATURES, "delay_binary", "cost_usd"]
     inputs = stage(X.engineer_features(master, codes).select(*kept), "model-inputs")
-    return Prepared(codes, inputs)
+    both = X.stratified_split(inputs, "delay_binary").withColumnRenamed("is_train", "in_delay_train")
+    marked = stage(X.plain_split(both).withColumnRenamed("is_train", "in_cost_train"), "split-inputs")
+    return Prepared(codes, inputs, marked)
 
 
 def split(prepared: Prepared, stratified: bool = True) -> tuple[DataFrame, DataFrame]:
     """Training and test rows."""
-    marked = X.stratified_split(prepared.inputs, "delay_binary") if stratified else X.plain_split(prepared.inputs)
-    return marked.where("is_train"), marked.where("not is_train")
+    mark = F.col("in_delay_train" if stratified else "in_cost_train")
+    return prepared.marked.where(mark), prepared.marked.where(~mark)
 
 
 def train_delay(prepared: Prepared, shape=models.DELAY_SHAPE) -> models.DelayModels:

@@ -67,3 +67,36 @@ ROUTE_DAY_BOUNDS: dict[tuple[str, str], tuple[int, int]] = {
     ("South Asia", "Asia Pacific"): (5, 10),
 }
 DEFAULT_ROUTE_DAYS = (10, 20)
+
+# The columns of the wide table, in order.
+MASTER_COLUMNS = [
+    "shipment_id",
+    "origin_port_id",
+    "destination_port_id",
+    "carrier_id",
+    "departure_date",
+    "scheduled_arrival",
+    "actual_arrival",
+    "cost_usd",
+    "status",
+    "delay_days",
+    "is_on_time",
+    "transit_days",
+    "departure_month",
+    "departure_year",
+    "carrier_name",
+    "carrier_type",
+    "rating",
+    "carrier_country",
+    "origin_port_name",
+    "origin_region",
+    "origin_congestion",
+    "origin_congestion_level",
+    "dest_port_name",
+    "dest_region",
+    "dest_congestion",
+    "dest_congestion_level",
+    "origin_weather_severity",
+    "origin_wind_kmh",
+    "route",
+]

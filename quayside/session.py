@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    """A local session for tests and the bench; a cluster brings its own."""
+def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
+    """A local session for tests and the bench, which name its folders; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("quayside")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
@@ -29,13 +30,14 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A local session that names none gets a temporary one; a cluster that names none is an error, because a
-    folder of one machine would lose the table with that machine.
+    A session of one process that names none gets a temporary one. Any other that names none is an error, because a
+    folder of one machine would lose the table with that machine; that the named folder is a shared one is for the
+    cluster to see to.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="quayside-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -45,9 +47,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def staging_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/quayside/{spark.sparkContext.applicationId}"
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/quayside/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Removes what this application staged, once nothing reads it any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

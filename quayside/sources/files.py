@@ -7,28 +7,33 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.functions.casting import null_tokens_to_null
-from quayside.schema import RAW_COLUMNS
+from quayside.schema import MASTER_COLUMNS, RAW_COLUMNS
 
 TABLE_ORDER = ["carriers", "ports", "shipments", "weather", "master"]
 # Larger tables are laid out by this column, so that a filter on it skips whole folders.
 PARTITION_COLUMNS = {"master": "departure_year", "shipments": "departure_year"}
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """A CSV with header, every column as text, "no value" texts as null. A missing path is an error.
 
-    ``multiline`` allows line breaks inside quotes; such files cannot be split between tasks.
+    Quoted values may hold line breaks, for which a file has to be read by one task. Where no value does,
+    ``multiline=False`` lets tasks share a file.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
     return null_tokens_to_null(reader.csv(path))
 
 
-def read_raw_tables(spark: SparkSession, folder: str, names: Iterable[str] = tuple(RAW_COLUMNS)) -> dict[str, DataFrame]:
-    return {name: read_csv(spark, f"{folder}/{name}.csv") for name in names}
+def read_raw_tables(
+    spark: SparkSession, folder: str, names: Iterable[str] = tuple(RAW_COLUMNS), multiline: bool = True
+) -> dict[str, DataFrame]:
+    return {name: read_csv(spark, f"{folder}/{name}.csv", multiline) for name in names}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    # The writer would cut blanks off the ends of values.
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def _laid_out(df: DataFrame, name: str):
@@ -45,13 +50,26 @@ def write_parquet_tables(tables: dict[str, DataFrame], folder: str) -> None:
         _laid_out(df, name).parquet(f"{folder}/{name}")
 
 
+def write_marts(marts: dict[str, DataFrame], folder: str) -> None:
+    """A mart is small: one row per carrier, port, route or month."""
+    for name, df in marts.items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
 def write_csv_tables(tables: dict[str, DataFrame], folder: str) -> None:
     for name, df in _ordered(tables):
         write_csv(df, f"{folder}/{name}.csv")
 
 
 def read_parquet_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+    return {name: _in_order(spark.read.parquet(f"{folder}/{name}"), name) for name in names}
+
+
+def _in_order(df: DataFrame, name: str) -> DataFrame:
+    """A partition column is read back as the last one; the wide table has it where it belongs."""
+    if name == "master" and set(df.columns) == set(MASTER_COLUMNS):
+        return df.select(*MASTER_COLUMNS)
+    return df
 
 
 def save_tables(tables: dict[str, DataFrame], database: str | None = None) -> None:
@@ -61,7 +79,8 @@ def save_tables(tables: dict[str, DataFrame], database: str | None = None) -> No
 
 
 def _ordered(tables: dict[str, DataFrame]) -> list[tuple[str, DataFrame]]:
-    return [(name, tables[name]) for name in TABLE_ORDER if name in tables]
+    first = [name for name in TABLE_ORDER if name in tables]
+    return [(name, tables[name]) for name in [*first, *sorted(set(tables) - set(first))]]
 
 
 def register_views(relations: dict[str, DataFrame]) -> None:

@@ -10,11 +10,18 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from quayside.session import local_session
+    from quayside.session import clear_staged, local_session
 
     warehouse = tmp_path_factory.mktemp("warehouse")
-    session = local_session(cpus=4, shuffle_partitions=4, spark__sql__warehouse__dir=str(warehouse))
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session(
+        cpus=4,
+        shuffle_partitions=4,
+        spark__sql__warehouse__dir=str(warehouse),
+        spark__checkpoint__dir=f"file://{shared}",
+    )
     yield session
+    clear_staged(session)
     session.stop()
 
 

@@ -24,10 +24,26 @@ def test_lenient_double(spark):
     assert column(df, lenient_double(df, "v")) == expected
 
 
-def test_lenient_double_keeps_infinity_out_of_sums(spark):
+@pytest.mark.parametrize(
+    ("costs", "total", "mean"),
+    [
+        ([2.5, None, 0.005], 2.505, 1.2525),
+        ([1e17, 2.0, 0.005], 1e17 + 2.005, (1e17 + 2.005) / 3),
+        ([1e30, 2.0], 1e30, 5e29),
+        ([float("inf"), 2.5], float("inf"), float("inf")),
+        ([None], None, None),
+    ],
+)
+def test_no_cost_vanishes(spark, costs, total, mean):
+    df = spark.createDataFrame([(c,) for c in costs], "c double")
+    assert df.agg(M.total_cost(F.col("c")), M.mean_cost(F.col("c"))).first()[:] == (total, mean)
+
+
+def test_infinity_is_read_and_rounded_as_it_is(spark):
     df = texts(spark, "inf", "2.5")
     cost = lenient_double(df, "v").alias("c")
-    assert df.select(cost).agg(M.mean_cost(F.col("c"))).first()[0] == 2.5
+    assert df.select(cost).agg(M.half_up(M.mean_cost(F.col("c")), 2)).first()[0] == float("inf")
+    assert column(spark.range(1), M.half_up(F.lit(1e30), 2)) == [1e30]
 
 
 def test_lenient_bigint(spark):

@@ -6,7 +6,8 @@ from quayside import __main__ as cli
 from quayside.plans import registry
 
 
-def test_stages(spark, sf_dir, tmp_path, capsys):
+def test_stages(spark, sf_dir, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(cli, "clear_staged", lambda session: None)  # other tests share the session and its tables
     raw, processed = registry.written_csvs(spark, sf_dir), str(tmp_path)
     cli.main(["audit", raw])
     assert "carrier_type" in capsys.readouterr().out

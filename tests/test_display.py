@@ -13,13 +13,14 @@ def test_formats_equal_python(spark):
     values += [rng.uniform(-10**5, 10**5) for _ in range(300)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     v = F.col("v")
-    got = df.select("v", D.fixed(v, 1), D.percent(v), D.dollars(v), D.days(v), D.signed(v)).collect()
-    for x, fixed, percent, dollars, days, signed in got:
-        assert fixed == f"{x:,.1f}"
-        assert percent == f"{x * 100:,.1f}%"
+    got = df.select("v", D.fixed(v, 1), D.percent(v), D.dollars(v), D.days(v), D.signed(v), D.signed_dollars(v), D.grouped(v, 0)).collect()
+    for x, fixed, percent, dollars, days, signed, signed_dollars, grouped in got:
+        assert fixed == f"{x:.1f}"
+        assert percent == f"{x * 100:.1f}%"
         assert dollars == f"${x:,.0f}"
-        assert days == f"{x:,.1f} days"
-        assert signed == f"{x:+,.0f}"
+        assert days == f"{x:.1f} days"
+        assert signed == f"{x:+.0f}"
+        assert signed_dollars == f"${x:+,.0f}" and grouped == f"{x:,.0f}"
 
 
 def test_missing_is_nan(spark):

@@ -64,3 +64,25 @@ def test_route_days_both_ways(spark):
     df = spark.createDataFrame(pairs, "origin_region string, dest_region string")
     got = {(r["origin_region"], r["dest_region"]): (r["min_days"], r["max_days"]) for r in with_route_days(df).collect()}
     assert got == dict(zip(pairs, [(20, 30), (20, 30), (10, 20), (10, 20)]))
+
+
+def test_rankings_and_lists_come_in_order(spark, sf_dir):
+    from quayside.plans import registry
+
+    queries = registry.queries()
+
+    def column(name, *fields):
+        return [tuple(r[f] for f in fields) for r in queries[name](spark, sf_dir).collect()]
+
+    scores = column("carrier_ranking", "performance_score", "carrier_name")
+    assert scores == sorted(scores, key=lambda r: (-r[0], r[1]))
+    busy = column("port_bubble", "congestion_index", "port_name")
+    assert busy == sorted(busy, key=lambda r: (-r[0], r[1]))
+    best = [float(r[0].rstrip("%")) for r in column("top_routes", "on_time_pct")]
+    assert best == sorted(best, reverse=True) and len(best) == 15
+    months = column("monthly_trend", "departure_month")
+    assert months == sorted(months) and len(months) == 36
+    options = column("filter_options", "option", "value")
+    assert options == sorted(options)
+    first = column("preview_shipments", "shipment_id")
+    assert first == sorted(first) and len(first) == 3

@@ -85,7 +85,16 @@ def test_run_training(spark, master, tmp_path):
     assert {n: r.count() for n, r in reports.items()} == {
         "delay_classifier": 2, "delay_regressor": 1, "cost_model": 1, "feature_importance": 8,
     }
-    assert (tmp_path / "cost_model").exists() and (tmp_path / "label_codes").exists()
+    assert (tmp_path / "label_codes").exists()
+    loaded = models.load_cost_model(str(tmp_path))
+    inputs = training.prepare(master).inputs
+    assert models.predict_cost(inputs.limit(5), loaded).select("prediction").dropna().count() == 5
+
+
+def test_missing_input_is_not_a_negative_one(spark):
+    df = spark.createDataFrame([(-1.0,), (None,), (-2.0,)], "transit_days double")
+    vectors = [tuple(r.features) for r in models.assemble(df, ["transit_days"]).collect()]
+    assert len(set(vectors)) == 3 and min(vectors) == (models.MISSING,)
 
 
 @pytest.mark.parametrize("swap", ["id", "profile"])

@@ -57,7 +57,7 @@ def test_weighted_median_of_nothing(spark):
     assert ordering.weighted_median(df, "v", "w").first()["median"] is None
 
 
-@pytest.mark.parametrize("fraction", [0.8, 0.5, 0.0])
+@pytest.mark.parametrize("fraction", [1.0, 0.8, 0.5, 0.0])
 def test_label_cuts_take_exact_shares(spark, fraction):
     rows = [(f"S{i}", i % 3 == 0) for i in range(5001)] + [("only", None)]
     df = spark.createDataFrame(rows, "id string, label boolean").withColumn("h", ordering.hash_order("id", 42))

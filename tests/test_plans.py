@@ -5,14 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from quayside.functions.joins import broadcast_if_small, measured_bytes
-from quayside.operators import enrich
+from quayside.operators import enrich, quality
 from quayside.plans import registry
 from quayside.session import stage
 
 # These train models or run whole batches before there is a plan to look at.
-EAGER = ("delay_c", "delay_r", "cost_model", "feature_importance", "score_", "whatif", "etl_")
+EAGER = ("delay_c", "delay_r", "cost_model", "feature_importance", "score_", "whatif", "etl_", "saved_")
 
 
 def plan(df) -> str:
@@ -21,7 +20,30 @@ def plan(df) -> str:
 
 def test_master_broadcasts_measured_sides(spark, sf_dir):
     text = plan(registry.master(spark, sf_dir))
-    assert text.count("BroadcastHashJoin") >= 4 and "SortMergeJoin" not in text.split("Subquery")[0]
+    for key in ("carrier_id", "origin_port_id", "destination_port_id"):
+        assert re.search(rf"BroadcastHashJoin \[{key}#\d+\], \[\w+#\d+\], LeftOuter", text), key
+    assert re.search(r"BroadcastHashJoin \[origin_port_id#\d+, departure_date#\d+\], \[\w+#\d+, \w+#\d+\], LeftOuter", text)
+    assert "SortMergeJoin" not in text
+
+
+def test_master_reads_the_fact_once(spark, sf_dir):
+    master = registry.master(spark, sf_dir)
+    assert not any("lineitem" in path for path in master.inputFiles())  # the cleaned shipments are staged
+    assert len(re.findall(r"FileScan parquet \[[^\]]*origin_port_id", plan(master))) == 1
+
+
+def test_audit_reads_each_table_once(spark, sf_dir):
+    tables = registry.raw(spark, sf_dir)
+    text = plan(quality.table_audit(tables["shipments"], "shipments"))
+    assert text.count("lineitem.parquet") == 1
+    assert "Scan parquet" not in plan(registry.schema_audit(spark, sf_dir))
+
+
+def test_switch_looks_for_its_shipments_once(spark, sf_dir):
+    master = registry.wide_table(spark, sf_dir)
+    current = master.where("carrier_id = 'C000003'").orderBy("shipment_id").limit(50)
+    both = current.withColumn("_moved", F.explode(F.array(F.lit(False), F.lit(True))))
+    assert plan(both).count("TakeOrderedAndProject") == 1
 
 
 def test_master_without_broadcast_is_the_same(spark, sf_dir):
@@ -44,9 +66,9 @@ def test_measured_size(spark):
     assert "ResolvedHint" not in broadcast_if_small(df, 34)._jdf.queryExecution().analyzed().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry_point.queries() if not n.startswith(EAGER)))
+@pytest.mark.parametrize("name", sorted(n for n in registry.queries() if not n.startswith(EAGER)))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    text = plan(entry_point.queries()[name](spark, sf_dir))
+    text = plan(registry.queries()[name](spark, sf_dir))
     assert not re.search(r"PythonUDF|ArrowEval|BatchEvalPython|MapInPandas|FlatMapGroups|CartesianProduct|NestedLoop", text)
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from quayside.plans import etl, registry
+from quayside.schema import MASTER_COLUMNS
 from quayside.session import shared_dir, stage
 from quayside.sources import files
 
@@ -16,10 +17,17 @@ def test_csv_is_text_with_nulls(spark, tmp_path):
 
 
 def test_csv_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([("a,b", 'say "hi"'), ("c", None)], "x string, y string")
+    rows = [("  pad ", "New\nYork\n"), ("a,b", 'say "hi"'), ("c", None)]
+    df = spark.createDataFrame(rows, "x string, y string")
     files.write_csv(df, f"{tmp_path}/t.csv")
     files.write_csv(df, f"{tmp_path}/t.csv")
-    assert sorted(map(tuple, files.read_csv(spark, f"{tmp_path}/t.csv").collect())) == [("a,b", 'say "hi"'), ("c", None)]
+    assert sorted(map(tuple, files.read_csv(spark, f"{tmp_path}/t.csv").collect())) == rows
+
+
+def test_csv_without_line_breaks_in_values(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('x,y\n"a,b",1\n c ,2\n')
+    rows = files.read_csv(spark, str(tmp_path / "t.csv"), multiline=False).collect()
+    assert [tuple(r) for r in rows] == [("a,b", "1"), (" c ", "2")]
 
 
 def test_missing_file_is_an_error(spark, tmp_path):
@@ -44,7 +52,13 @@ def test_etl_and_views(spark, sf_dir, tmp_path):
     raw = registry.written_csvs(spark, sf_dir)
     tables = etl.run_etl(spark, raw, str(tmp_path))
     assert tables["master"].count() == tables["shipments"].count()
+    assert tables["master"].columns == MASTER_COLUMNS
+    assert tables["audit"].where("table_name = 'ports'").count() == 5 and tables["schema_audit"].isEmpty()
     etl.publish(tables)
+    months = [r.departure_month for r in spark.table("v_monthly_kpis").collect()]
+    assert months == sorted(months, key=lambda m: (m is not None, m))
+    delays = [r.avg_delay for r in spark.table("v_route_performance").collect()]
+    assert delays == sorted(delays)
     relations = files.read_relations(spark, etl.KPI_VIEWS, cache=True)
     assert relations["v_monthly_kpis"].agg({"total_shipments": "sum"}).first()[0] == tables["shipments"].count()
     for df in relations.values():
