@@ -22,7 +22,7 @@ OUTSIDE = re.compile("[^\x00-\x1b\x20-ɏ‐-‧€]")
 PIECE = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^\s{LETTERS}{DIGITS}]+|\s+(?!\S)|\s+"
 )
-REMEMBERED = 300_000  # chunks a worker keeps at most; beyond, it starts anew
+REMEMBERED = 300_000  # chunks a worker keeps at most (about 60 MB); beyond, it starts anew
 LONGEST_REMEMBERED = 48  # characters of a chunk
 
 
