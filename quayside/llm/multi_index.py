@@ -37,7 +37,7 @@ from quayside.session import stage
 
 SAMPLE = 16_384
 MOST_CENTROIDS = 1024
-CELL_ENTRIES = 2  # mean entries of a cell
+CELL_ENTRIES = 5  # mean entries of a cell
 EXPECTED = 0.97  # of the neighbours, to be in the cells that a query visits
 UNIT = 512  # entries, and queries, of a unit
 TAIL = np.array([0.5 * erfc(x / 2**0.5) for x in np.linspace(-8, 8, 1601)])  # of a normal distribution
@@ -127,17 +127,19 @@ class Codebook:
         hits = held * tail((goal - left[:, None] - right[None, :]) / noise)
         enough = EXPECTED * hits.sum()
         left, right, hits, held, n = left.tolist(), right.tolist(), hits.tolist(), held.tolist(), len(right)
-        queue, expected, met, depth = [(-left[0] - right[0], 0, 0)], 0.0, 0, {}
+        queue, expected, met, depth = [(-left[0] - right[0], 0, 0)], 0.0, 0, [0] * len(left)
         while queue and (expected < enough or met <= top):
-            _, i, j = heapq.heappop(queue)
+            _, i, j = queue[0]
             depth[i] = j + 1
             expected += hits[i][j]
             met += held[i][j]
             if j + 1 < n:
-                heapq.heappush(queue, (-left[i] - right[j + 1], i, j + 1))
+                heapq.heapreplace(queue, (-left[i] - right[j + 1], i, j + 1))
+            else:
+                heapq.heappop(queue)
             if j == 0 and i + 1 < len(left):  # each pair is reached from one other only
                 heapq.heappush(queue, (-left[i + 1] - right[0], i + 1, 0))
-        return {int(by_left[i]): j for i, j in depth.items()}
+        return {int(by_left[i]): j for i, j in enumerate(depth) if j}
 
     def order(self, queries: np.ndarray) -> np.ndarray:
         """Per query the second centroids, best first."""
