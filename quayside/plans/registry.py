@@ -258,10 +258,6 @@ def plain_split(spark: SparkSession, sf: str) -> DataFrame:
     return prepared(spark, sf).marked.select("shipment_id", F.col("in_cost_train").alias("is_train"))
 
 
-# Trained models differ from engine to engine in their last digits, so the model queries return what must hold of any
-# of them: supports, and whether figures lie where they have to and fit each other.
-
-
 def fixed_report(spark: SparkSession, sf: str) -> DataFrame:
     """The classification report over predictions that are the parity of the shipment id's hash."""
     odd = F.conv(F.substring(F.md5("shipment_id"), 1, 1), 16, 10).cast("int") % 2
@@ -277,11 +273,49 @@ def fixed_errors(spark: SparkSession, sf: str) -> DataFrame:
     return report.select("support", *[F.round(c, 6).alias(c) for c in ("mae", "rmse", "r2")])
 
 
-def delay_classifier_metrics(spark: SparkSession, sf: str) -> DataFrame:
+def delay_classifier_report(spark: SparkSession, sf: str) -> DataFrame:
     _, test = training.split(prepared(spark, sf))
-    report = models.classification_report(models.score_delay(test, delay_models(spark, sf).classifier))
+    return models.classification_report(models.score_delay(test, delay_models(spark, sf).classifier))
+
+
+def delay_regressor_report(spark: SparkSession, sf: str) -> DataFrame:
+    _, test = training.split(prepared(spark, sf))
+    scored = models.predict_days(test.where("delay_days > 0"), delay_models(spark, sf).regressor)
+    return models.regression_report(scored, "delay_days")
+
+
+def cost_model_report(spark: SparkSession, sf: str) -> DataFrame:
+    _, test = training.split(prepared(spark, sf), stratified=False)
+    return models.regression_report(models.predict_cost(test, cost_model(spark, sf)), "cost_usd")
+
+
+def feature_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    return models.feature_importance(spark, delay_models(spark, sf).classifier)
+
+
+def shipment_scores(spark: SparkSession, sf: str) -> DataFrame:
+    scored = models.score_delay(prepared(spark, sf).inputs, delay_models(spark, sf).classifier)
+    return scored.select("shipment_id", "prediction", "delay_probability")
+
+
+def _switch(spark: SparkSession, sf: str, carrier_from: str, carrier_to: str) -> DataFrame:
+    trained = delay_models(spark, sf)
+    return whatif.whatif_carrier_switch(
+        wide_table(spark, sf), carriers(spark, sf), trained.classifier, trained.codes, carrier_from, carrier_to
+    )
+
+
+def carrier_switch(spark: SparkSession, sf: str) -> DataFrame:
+    return _switch(spark, sf, "C000003", "C000007")
+
+
+# Trained models differ from engine to engine in their last digits, so SQL can only say what must hold of any of them:
+# supports, and whether figures lie where they have to and fit each other. The queries with SQL return that of the above.
+
+
+def delay_classifier_metrics(spark: SparkSession, sf: str) -> DataFrame:
     shares = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1", "accuracy")]
-    return report.select("class", "support", reduce(and_, shares).alias("in_range"))
+    return delay_classifier_report(spark, sf).select("class", "support", reduce(and_, shares).alias("in_range"))
 
 
 def _sound_errors(report: DataFrame) -> DataFrame:
@@ -290,14 +324,11 @@ def _sound_errors(report: DataFrame) -> DataFrame:
 
 
 def delay_regressor_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    _, test = training.split(prepared(spark, sf))
-    scored = models.predict_days(test.where("delay_days > 0"), delay_models(spark, sf).regressor)
-    return _sound_errors(models.regression_report(scored, "delay_days"))
+    return _sound_errors(delay_regressor_report(spark, sf))
 
 
 def cost_model_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    _, test = training.split(prepared(spark, sf), stratified=False)
-    return _sound_errors(models.regression_report(models.predict_cost(test, cost_model(spark, sf)), "cost_usd"))
+    return _sound_errors(cost_model_report(spark, sf))
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,21 +341,30 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def score_shipments(spark: SparkSession, sf: str) -> DataFrame:
-    scored = models.score_delay(prepared(spark, sf).inputs, delay_models(spark, sf).classifier)
     chance = F.col("delay_probability")
     fits = (chance > 0.5).cast("int") == F.col("prediction")
+    scored = shipment_scores(spark, sf)
     return scored.select("shipment_id", chance.between(0, 1).alias("in_range"), fits.alias("fits_prediction"))
 
 
 def whatif_carrier_switch(spark: SparkSession, sf: str) -> DataFrame:
     """A carrier switched to itself: nothing may change."""
-    trained = delay_models(spark, sf)
-    moved = whatif.whatif_carrier_switch(
-        wide_table(spark, sf), carriers(spark, sf), trained.classifier, trained.codes, "C000003", "C000003"
-    )
+    moved = _switch(spark, sf, "C000003", "C000003")
     return moved.select("carrier_from", "carrier_to", "shipments", F.round("change", 9).alias("change"), "change_text")
 
 
+def model_queries() -> dict[str, Query]:
+    """The figures of trained models, which no SQL can express."""
+    return {
+        "delay_classifier_report": delay_classifier_report,
+        "delay_regressor_report": delay_regressor_report,
+        "cost_model_report": cost_model_report,
+        "feature_ranking": feature_ranking,
+        "shipment_scores": shipment_scores,
+        "carrier_switch": carrier_switch,
+    }
+
+
 def queries() -> dict[str, Query]:
     return {
         "clean_carriers": clean_table("carriers"),
