@@ -1,7 +1,8 @@
 """Secrets: three fixed patterns, and strings that dictionary-primed compression finds new.
 
 A candidate is a run of key-like characters with more than one class of them. It matters only in a sensitive
-context: a word such as key, token or password shortly before it. Its novelty is what it adds to a compressed frame:
+context: a word such as key, token or password shortly before it, or in its own run where that is NAME=VALUE, of which
+the value alone is the candidate. Its novelty is what it adds to a compressed frame:
 the bytes of zstandard for the text around it with the candidate, less those without it, primed with a dictionary of
 identifiers. Prose, identifiers and repeated values add little; a secret adds most of its own length. The dictionary
 is a fixed list of identifiers common in code, followed by those most frequent in the corpus' own sensitive contexts.
@@ -40,7 +41,9 @@ KINDS = (*(kind for kind, *_ in BASE), "novel")
 HINTS = {"assign": ("passw", "secret", "token", "api"), "access": ("akia",)}
 HEX_RUN = re.compile(r"[0-9a-f]{24}", re.ASCII)
 
+LEAST = 16  # characters of a candidate
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.ASCII)
+PIECE = re.compile(r"[^=]+(?:=+\Z|==+)?")  # of a run cut where a single = assigns; what pads a value stays with it
 SENSITIVE = re.compile(
     r"(?i)(pass(word|wd|phrase)|secret|token|credential|private|signature|bearer|auth|api|access|key\b)", re.ASCII
 )
@@ -61,7 +64,8 @@ IDENTIFIERS = (
     "timeout timestamp token true type undefined update upload user username value variable version void width write"
 )
 AROUND = 120  # characters of context on either side
-BEFORE = 48  # how far before a candidate the sensitive word may stand
+BEFORE = 48  # how far before a candidate's run the sensitive word may stand
+LONGEST_WORD = 10  # characters of a sensitive word
 DICTIONARY_WORDS = 4096  # identifiers of the corpus that the dictionary takes
 NOVEL_SHARE = 0.6  # of a candidate's own length that it must add
 
@@ -88,16 +92,29 @@ def listed(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
+def values(text: str) -> list[tuple[int, int, int]]:
+    """Start and end of key-like values, and where the run of each begins; a run of short pieces is a value as it is."""
+    found = []
+    for m in CANDIDATE.finditer(text):
+        at = m.start()
+        parts = [(at + p.start(), at + p.end(), at) for p in PIECE.finditer(m[0]) if len(p[0]) >= LEAST]
+        found += parts or [(at, m.end(), at)]
+    return found
+
+
 def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, str, str]]:
-    """Start, end, text before and text after of key-like runs in a sensitive context, apart from base spans."""
+    """Start, end, text before and text after of key-like values in a sensitive context, apart from base spans."""
     low = text.lower()
     if not any(hint in low for hint in SENSITIVE_HINTS):
         return []
-    found = []
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        classes = sum(bool(re.search(c, m[0])) for c in ("[a-z]", "[A-Z]", "[0-9]"))
-        if classes < 2 or not SENSITIVE.search(text[max(0, start - BEFORE) : start]):
+    found, last_run, sensitive, searched = [], -1, False, 0
+    for start, end, run in values(text):
+        if run != last_run:
+            last_run, sensitive, searched = run, False, max(0, run - BEFORE)
+        sensitive = sensitive or bool(SENSITIVE.search(text, searched, start))
+        searched = max(searched, start - LONGEST_WORD)
+        classes = sum(bool(re.search(c, text[start:end])) for c in ("[a-z]", "[A-Z]", "[0-9]"))
+        if classes < 2 or not sensitive:
             continue
         if any(s < end and start < e for _, s, e in taken):
             continue

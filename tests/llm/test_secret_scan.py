@@ -72,6 +72,24 @@ def test_context_matters():
     assert not secret_scan.candidates(f"token={value}", [("assign", 0, 6 + len(value))])
 
 
+@pytest.mark.parametrize("name", ["aws_secret_access_key", "export PRIVATE_KEY", "--auth-" + "x" * 60, "mode=fast\nsigning_key"])
+def test_name_and_value_without_blanks(name):
+    rng, frame = random.Random(6), secret_scan.compressor([])
+    for value in (key(rng), key(rng, 42) + "=="):
+        text = f"# settings\n{name}={value}\nregion=eu\n"
+        ((start, end, before, after),) = secret_scan.candidates(text, secret_scan.base_spans(text))
+        assert text[start:end] == value and secret_scan.novelty(value, before, after, frame) > secret_scan.NOVEL_SHARE
+
+
+def test_cut_runs_lose_no_piece():
+    rng = random.Random(7)
+    one, two = key(rng), key(rng)
+    found = lambda text: [text[s:e] for s, e, _, _ in secret_scan.candidates(text, [])]
+    assert found(f"bearer {one}={two}") == [one, two] and found(f"bearer {one}=={two}=") == [one + "==", two + "="]
+    assert found("bearer aB1=cD2=eF3=gH4=iJ5") == ["aB1=cD2=eF3=gH4=iJ5"]
+    assert found(f"mode={one}") == [] and found(f"{one}=secret") == []
+
+
 def test_query_adds_to_the_base(spark):
     rng = random.Random(4)
     plain, value = prose(rng, 60), key(rng)
