@@ -2,7 +2,8 @@
 
 A candidate is a run of key-like characters with more than one class of them. It matters only in a sensitive
 context: a word such as key, token or password shortly before it, or in its own run where that is NAME=VALUE, of which
-the value alone is the candidate. Its novelty is what it adds to a compressed frame:
+the value alone is the candidate. A run that follows another with nothing but blanks, line breaks, dots, commas, quotes
+or backslashes between shares its context, so the lines of a key and the parts of a token stand together. Its novelty is what it adds to a compressed frame:
 the bytes of zstandard for the text around it with the candidate, less those without it, primed with a dictionary of
 identifiers. Prose, identifiers and repeated values add little; a secret adds most of its own length. The dictionary
 is a fixed list of identifiers common in code, followed by those most frequent in the corpus' own sensitive contexts.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,6 +45,9 @@ HEX_RUN = re.compile(r"[0-9a-f]{24}", re.ASCII)
 
 LEAST = 16  # characters of a candidate
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.ASCII)
+END = "-----END"  # what a key of several lines ends with; the line before it may be short
+TAIL = re.compile(r"(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{1,15})[\s.,'\"`\\]+n?\Z", re.ASCII)
+JOINED = re.compile(r"[\s.,'\"`\\]*", re.ASCII)
 PIECE = re.compile(r"[^=]+(?:=+\Z|==+)?")  # of a run cut where a single = assigns; what pads a value stays with it
 SENSITIVE = re.compile(
     r"(?i)(pass(word|wd|phrase)|secret|token|credential|private|signature|bearer|auth|api|access|key\b)", re.ASCII
@@ -99,27 +104,62 @@ def values(text: str) -> list[tuple[int, int, int]]:
         at = m.start()
         parts = [(at + p.start(), at + p.end(), at) for p in PIECE.finditer(m[0]) if len(p[0]) >= LEAST]
         found += parts or [(at, m.end(), at)]
-    return found
+    at = text.find(END)
+    while at >= 0:
+        tail = TAIL.search(text, max(0, at - AROUND), at)
+        if tail:
+            found.append((*tail.span(1), tail.start(1)))
+        at = text.find(END, at + len(END))
+    return sorted(found)
 
 
-def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, str, str]]:
-    """Start, end, text before and text after of key-like values in a sensitive context, apart from base spans."""
+def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, str, str, str]]:
+    """Start, end, text before, text after and text near of key-like values in a sensitive context, apart from base spans.
+
+    The text near is that before and after without the other values of the same secret.
+    """
     low = text.lower()
     if not any(hint in low for hint in SENSITIVE_HINTS):
         return []
-    found, last_run, sensitive, searched = [], -1, False, 0
+    assigned = sorted(e for kind, _, e in taken if kind == "assign")
+    found, last_run, sensitive, searched, last, chain = [], -1, False, 0, -1, 0
     for start, end, run in values(text):
         if run != last_run:
             last_run, sensitive, searched = run, False, max(0, run - BEFORE)
         sensitive = sensitive or bool(SENSITIVE.search(text, searched, start))
         searched = max(searched, start - LONGEST_WORD)
         classes = sum(bool(re.search(c, text[start:end])) for c in ("[a-z]", "[A-Z]", "[0-9]"))
-        if classes < 2 or not sensitive:
+        k = bisect_right(assigned, start)
+        follows = last >= 0 and bool(JOINED.fullmatch(text, last, start))
+        joined = follows or k > 0 and bool(JOINED.fullmatch(text, assigned[k - 1], start))
+        if classes < 2 and not (joined and end - start < LEAST) or not (sensitive or joined):
             continue
+        last, chain = end, chain + (not follows)
         if any(s < end and start < e for _, s, e in taken):
             continue
-        found.append((start, end, text[max(0, start - AROUND) : start], text[end : end + AROUND]))
-    return found
+        found.append((start, end, chain, classes))
+    return [
+        (start, end, text[max(0, start - AROUND) : start], text[end : end + AROUND], near(text, found, k))
+        for k, (start, end, _, _) in enumerate(found)
+    ]
+
+
+def near(text: str, found: list[tuple[int, int, int, int]], k: int) -> str:
+    """The text around candidate ``k`` without others of its chain that hold all classes: they are key material."""
+    start, end, chain, _ = found[k]
+    low, high = max(0, start - AROUND), min(len(text), end + AROUND)
+    first = k
+    while first and found[first - 1][2] == chain and found[first - 1][1] > low:
+        first -= 1
+    parts, at = [], low
+    for other in range(first, len(found)):
+        s, e, its, classes = found[other]
+        if its != chain or s >= high:
+            break
+        if other == k or classes == 3 or e - s < LEAST:
+            parts.append(text[at : max(at, s)])
+            at = max(at, e)
+    return " ".join([*parts, text[at : max(at, high)]])
 
 
 def compressor(identifiers: list[str]) -> zstandard.ZstdCompressor:
@@ -141,7 +181,7 @@ def found_in(docs: DataFrame, text: str, **keys) -> DataFrame:
     chosen = docs.select(*[c.alias(name) for name, c in keys.items()], whole(text).alias("_text"))
     spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     news = pa.list_(
-        pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("before", pa.string()), ("after", pa.string())])
+        pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("before", pa.string()), ("after", pa.string()), ("near", pa.string())])
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +193,8 @@ def found_in(docs: DataFrame, text: str, **keys) -> DataFrame:
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e in own])
                 new.append(
                     [
-                        {"start": s, "end": e, "value": body[s:e], "before": x, "after": y}
-                        for s, e, x, y in candidates(body, own)
+                        {"start": s, "end": e, "value": body[s:e], "before": x, "after": y, "near": z}
+                        for s, e, x, y, z in candidates(body, own)
                     ]
                 )
             columns = [*[batch.column(name) for name in names], pa.array(base, spans), pa.array(new, news)]
@@ -164,13 +204,13 @@ def found_in(docs: DataFrame, text: str, **keys) -> DataFrame:
     return chosen.mapInArrow(
         run,
         f"{kept}base array<struct<kind string, start bigint, end bigint>>, "
-        "candidates array<struct<start bigint, end bigint, value string, before string, after string>>",
+        "candidates array<struct<start bigint, end bigint, value string, before string, after string, near string>>",
     )
 
 
 def corpus_identifiers(found: DataFrame) -> list[str]:
     """The identifiers most frequent around candidates, most frequent first."""
-    around = found.select(F.explode("candidates").alias("c")).select(F.concat_ws(" ", "c.before", "c.after").alias("near"))
+    around = found.select(F.explode("candidates.near").alias("near"))
     names = around.select(F.explode(F.regexp_extract_all("near", F.lit("([A-Za-z_][A-Za-z_.]{2,31})"), 1)).alias("name"))
     ranked = names.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "name")
     return [row.name for row in ranked.limit(DICTIONARY_WORDS).collect()]  # the dictionary's size
@@ -237,7 +277,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
         def clean(body: str | None) -> str | None:
             own = base_spans(body or "")
             new = [
-                (s, e) for s, e, x, y in candidates(body or "", own) if novelty(body[s:e], x, y, frame) >= NOVEL_SHARE
+                (s, e) for s, e, x, y, _ in candidates(body or "", own) if novelty(body[s:e], x, y, frame) >= NOVEL_SHARE
             ]
             spans = [(s, e) for _, s, e in own] + new
             return hidden(body, spans, mark) if spans else body

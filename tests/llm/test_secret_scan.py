@@ -77,19 +77,49 @@ def test_name_and_value_without_blanks(name):
     rng, frame = random.Random(6), secret_scan.compressor([])
     for value in (key(rng), key(rng, 42) + "=="):
         text = f"# settings\n{name}={value}\nregion=eu\n"
-        ((start, end, before, after),) = secret_scan.candidates(text, secret_scan.base_spans(text))
+        ((start, end, before, after, _),) = secret_scan.candidates(text, secret_scan.base_spans(text))
         assert text[start:end] == value and secret_scan.novelty(value, before, after, frame) > secret_scan.NOVEL_SHARE
 
 
 def test_cut_runs_lose_no_piece():
     rng = random.Random(7)
     one, two = key(rng), key(rng)
-    found = lambda text: [text[s:e] for s, e, _, _ in secret_scan.candidates(text, [])]
+    found = lambda text: [text[s:e] for s, e, *_ in secret_scan.candidates(text, [])]
     assert found(f"bearer {one}={two}") == [one, two] and found(f"bearer {one}=={two}=") == [one + "==", two + "="]
     assert found("bearer aB1=cD2=eF3=gH4=iJ5") == ["aB1=cD2=eF3=gH4=iJ5"]
     assert found(f"mode={one}") == [] and found(f"{one}=secret") == []
 
 
+def test_whole_keys_and_tokens_are_redacted(spark):
+    rng = random.Random(8)
+    lines = [*[key(rng, 64) for _ in range(24)], key(rng, 11) + "="]
+    head, foot = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    parts = [key(rng, 20), key(rng, 90), key(rng, 43)]
+    texts = [
+        "\n".join(["see", head, *lines, foot, "done."]),
+        '{"pem": "' + "\\n".join([head, *lines, foot]) + '", "x": 1}',
+        f"Authorization: Bearer {'.'.join(parts)} sent",
+        f"secret = '{lines[0]}\r\n{lines[1]}\r\n{lines[2]}' end",
+        f"bearer {lines[0]} of the article {lines[1]} read",
+    ]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], DOCUMENT)
+    got = {r.doc_id: r.text for r in secret_scan.redact(docs, mark="#").collect()}
+    assert [got[0].count(x) for x in lines] == [0] * 25 and got[0].startswith(f"see\n{head}\n#") and got[0].endswith(f"#\n{foot}\ndone.")
+    assert [got[1].count(x) for x in lines] == [0] * 25 and got[1].endswith('", "x": 1}')
+    assert got[2] == "Authorization: Bearer #.#.# sent"
+    assert got[3] == "#\r\n#\r\n#' end"
+    assert got[4] == f"bearer # of the article {lines[1]} read"
+
+
+def test_key_material_is_no_identifier():
+    rng = random.Random(9)
+    lines = [key(rng, 64) for _ in range(6)]
+    text = "the private key of the client_module\n" + "\n".join(lines) + "\nreturn client_module"
+    found = secret_scan.candidates(text, [])
+    assert len(found) == 6 and "client_module" in found[0][4] and "client_module" in found[5][4]
+    assert not any(line[4:12] in c[4] for c in found for line in lines)
+
+
 def test_query_adds_to_the_base(spark):
     rng = random.Random(4)
     plain, value = prose(rng, 60), key(rng)
