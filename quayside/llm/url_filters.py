@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.joins import broadcast_if_small
+from quayside.llm.words import let
 from quayside.session import stage
 
 RULES = (
@@ -72,11 +73,13 @@ def looks(segment: Column) -> Column:
 
 
 def segments(path: Column) -> Column:
-    """At most ``LEVELS`` segments; blank ones don't count."""
-    every = F.filter(F.split(path, "/"), lambda s: s != "")
-    rest = F.array_join(F.slice(every, LEVELS, F.greatest(F.size(every) - (LEVELS - 1), F.lit(1))), "/")
-    cut = F.when(F.size(every) > LEVELS, F.concat(F.slice(every, 1, LEVELS - 1), F.array(rest))).otherwise(every)
-    return F.transform(cut, looks)
+    """At most ``LEVELS`` segments, the last of a deeper path its joined rest; blank ones don't count."""
+
+    def cut(every: Column) -> Column:
+        rest = F.array_join(F.slice(every, LEVELS, F.greatest(F.size(every) - (LEVELS - 1), F.lit(1))), "/")
+        return F.when(F.size(every) > LEVELS, F.concat(F.slice(every, 1, LEVELS - 1), F.array(rest))).otherwise(every)
+
+    return let(F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), looks), cut)
 
 
 def _prefix(level: int) -> Column:

@@ -94,3 +94,14 @@ def test_odd_inputs(spark):
     assert deep.path == long[12:] and deep.template.count("/") == 500
     assert got.where("page_id = 3").first().template == "/x"
     assert url_filters.judge(pages.where("page_id = 9")).count() == 0
+
+
+def test_deep_branches_stay_apart(spark):
+    deep = "http://a.org/1/b/c/d/e/f/g/"
+    urls = [f"{deep}{kind}/x{k}" for kind in ("good", "bad") for k in range(8)]
+    rules = tuple((f"a.org/1/b/c/d/e/f/g/bad/x{k}", "block") for k in range(6)) + tuple(
+        (f"a.org/1/b/c/d/e/f/g/good/x{k}", "allow") for k in range(6)
+    )
+    rows = url_filters.judge(spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string"), rules).collect()
+    assert {r.template for r in rows} == {"/{number}/b/c/d/e/f/g/good/{mixed}", "/{number}/b/c/d/e/f/g/bad/{mixed}"}
+    assert all(r.verdict == ("block" if "/bad/" in r.path else "allow") for r in rows)
