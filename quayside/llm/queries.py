@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import line_rules, mixing, multi_index, packing, quality, secret_scan, simhash, token_counts, toxicity, url_filters
+from quayside.llm import (
+    collocations,
+    conversation_repair,
+    line_rules,
+    mixing,
+    multi_index,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    tag_paths,
+    token_counts,
+    toxicity,
+    url_filters,
+)
 from quayside.llm.words import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +87,18 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")), copies="copies")
+
+
+def op12_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract(table(spark, sf_dir, "pages"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 QUERIES = (
     op1_url_filters,
     op2_simhash,
@@ -84,6 +110,9 @@ QUERIES = (
     op8_toxicity,
     op9_packing,
     op10_multi_index,
+    op11_conversation_repair,
+    op12_tag_paths,
+    op13_collocations,
 )
 
 

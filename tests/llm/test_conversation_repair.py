@@ -1,0 +1,197 @@
+"""Repairs against trying all edits, long conversations against plain dynamic programming, and odd input."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from quayside.llm import conversation_repair as R
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+LEGAL = re.compile(r"(s?(ua)+)?")
+
+
+def steps_of(rows):
+    """Rows (role, text) as (role, text, must go, cut off)."""
+    seen, found = set(), []
+    for role, text in rows:
+        blank = not text.strip(R.BLANKS)
+        found.append((role, text, blank or (role, text) in seen, not blank and text.rstrip(R.BLANKS)[-1] not in ".!?"))
+        seen.add((role, text))
+    return found
+
+
+def tried(rows, most):
+    """The cheapest repair among all of up to ``most`` insertions in a row, without any pruning."""
+    best = None
+    steps = steps_of(rows)
+    stack = [(0, 0, "", ())]
+    while stack:
+        k, cost, audit, left = stack.pop()
+        if k == len(steps):
+            if LEGAL.fullmatch("".join(r[:1] for r, _ in left)):
+                best = min(best, (cost, audit, left)) if best else (cost, audit, left)
+        else:
+            role, text, gone, cut = steps[k]
+            extra = 5 * cut
+            stack.append((k + 1, cost + 2, audit + "D", left))
+            if not gone:
+                stack.append((k + 1, cost + extra, audit + "K", (*left, (role, text))))
+                for name in ("user", "assistant"):
+                    stack.append((k + 1, cost + 1 + extra, audit + "R", (*left, (name, text))))
+        if not audit.endswith("I" * most):
+            for name in ("user", "assistant"):
+                stack.append((k, cost + 5, audit + "I", (*left, (name, ""))))
+    return best
+
+
+def programmed(rows):
+    """Row by row the best way to each role state."""
+    best = {0: (0, "", "")}
+
+    def better(table, state, way):
+        table[state] = min(table.get(state, way), way)
+
+    def inserted(table):
+        for state, name, there in [(0, "user", 2), (1, "user", 2), (3, "user", 2), (2, "assistant", 3), (3, "user", 2)]:
+            if state in table:
+                cost, audit, text = table[state]
+                better(table, there, (cost + 5, audit + "I", text + f"\n{name}:"))
+        return table
+
+    inserted(best)
+    for role, text, gone, cut in steps_of(rows):
+        after = {}
+        for state, (cost, audit, out) in best.items():
+            better(after, state, (cost + 2, audit + "D", out))
+            if not gone:
+                name, there = ("assistant", 3) if state == 2 else ("user", 2)
+                better(after, there, (cost + 1 + 5 * cut, audit + "R", out + f"\n{name}:{text}"))
+                if role[:1] == name[0]:
+                    better(after, there, (cost + 5 * cut, audit + "K", out + f"\n{role}:{text}"))
+                elif role[:1] == "s" and state == 0:
+                    better(after, 1, (cost + 5 * cut, audit + "K", out + f"\n{role}:{text}"))
+        best = inserted(after)
+    return min(best[s] for s in (0, 3) if s in best)
+
+
+def made(rng, n):
+    roles = ["user", "assistant", "user", "assistant", "system", "tool"]
+    return [(rng.choice(roles[: rng.choice([2, 5, 6])]), rng.choice(["", " ", "yes", "no.", f"t{rng.random()}!", f"{rng.random()}"])) for _ in range(n)]
+
+
+def repaired(rows):
+    conversation = R.Conversation(1)
+    seen = set()
+    for k, (role, text) in enumerate(rows):
+        blank = not text.strip(R.BLANKS)
+        cut = not blank and text.rstrip(R.BLANKS)[-1] not in ".!?"
+        conversation.add(k, role, text, 1, blank, (role, text) in seen, cut)
+        seen.add((role, text))
+    return conversation.result()
+
+
+def test_short_conversations_against_all_edits():
+    rng = random.Random(1)
+    for n in [0, 1, 1, 2, 2, 2, 3, 3, 3, 3, 4, 4] * 4:
+        rows = made(rng, n)
+        cost, audit, left = tried(rows, 2 if n < 4 else 1)
+        result = repaired(rows)
+        assert result[-3:-1] == (cost, audit), rows
+        assert result[-1] == hashlib.sha256("\n".join(f"{r}:{t}" for r, t in left).encode()).hexdigest()
+        assert programmed(rows)[:2] == (cost, audit)
+
+
+@pytest.mark.parametrize("block", [1, 3, 64, 1000])
+def test_long_conversations(monkeypatch, block):
+    monkeypatch.setattr(R, "BLOCK", block)
+    rng = random.Random(block)
+    for n in [5, 20, 64, 65, 130, 200]:
+        rows = made(rng, n)
+        cost, audit, text = programmed(rows)
+        result = repaired(rows)
+        assert result[-3:-1] == (cost, audit)
+        assert result[-1] == hashlib.sha256(text[1:].encode()).hexdigest()
+
+
+def test_bounds_never_exceed_the_cost():
+    rng = random.Random(6)
+    for _ in range(200):
+        rows = made(rng, rng.randint(1, 8))
+        steps = [R.Step(*s) for s in steps_of(rows)]
+        bounds = R.lower_bounds(steps)
+        for k in range(len(steps)):
+            for state in R.FOLLOWS:
+                found = R.cheapest(steps[k:], {state: (0, "")}, R.GOALS)
+                assert found is None or found[0] >= bounds[k]
+
+
+def damaged(rows):
+    kept = defaultdict(list)
+    for conv, turn, role, text in rows:
+        kept[conv]
+        fate = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = (" " if x is None else x for x in (role, text))
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        kept[conv] += [(turn, "user" if fate == 4 else role, text)] * {0: 0, 3: 2}.get(fate, 1)
+    return {k: sorted(v, key=lambda r: (r[0] is not None, r)) for k, v in kept.items()}
+
+
+def expected(rows):
+    found = []
+    for conv, there in damaged(rows).items():
+        steps = steps_of([r[1:] for r in there])
+        blank = sum(not t.strip(R.BLANKS) for _, t, _, _ in steps)
+        cost, audit, text = programmed([r[1:] for r in there])
+        turns = {r[0] for r in there} - {None}
+        illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(steps, steps[1:]))
+        counts = (blank, sum(s[2] for s in steps) - blank, sum(s[3] and not s[2] for s in steps), illegal, cost)
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        found.append((conv, gaps, *counts, audit, hashlib.sha256(text[1:].encode()).hexdigest()))
+    return sorted(found, key=str)
+
+
+def odd(rng):
+    rows = []
+    for conv in range(60):
+        rows += [(conv, turn, *row) for turn, row in enumerate(made(rng, rng.randint(1, 9)))]
+    rows += [(100, k, *row) for k, row in enumerate(made(rng, 500))]  # a long one
+    rows += [(101, 1, "user", "again.")] * 40 + [(101, 2, "user", "again.")] * 3
+    rows += [(102, None, "user", "x."), (102, None, "assistant", None), (102, 7, None, "y."), (102, -3, "", "z.")]
+    rows += [(None, 1, "user", "u."), (None, 2, "assistant", "a."), (None, None, None, None)]
+    rows += [(103, 1, "user", "word. " * 300_000), (103, 2, "assistant", "é " * 1000)]
+    rows += [(104, 1 << 62, "user", "far."), (104, -(1 << 62), "assistant", "away.")]
+    return rows
+
+
+def test_rows_against_plain_python(spark):
+    rows = odd(random.Random(2))
+    table = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' as conv", "'y' as copies", "'z' as audit", "1 as blank")
+    found = R.repair(R.damage(table), copies="copies")
+    assert sorted(map(tuple, found.collect()), key=str) == expected(rows)
+    assert found.columns == ["conv_id", *R.COUNTS, "audit", "repaired_sha256"]
+    empty = R.repair(R.damage(table.limit(0)), copies="copies")
+    assert empty.collect() == []
+
+
+def test_a_conversation_of_which_nothing_is_left(spark):
+    dropped = next(k for k in range(1000) if zlib.crc32(f"{k}:1".encode()) % 20 == 0)
+    table = spark.createDataFrame([(dropped, 1, "user", "gone.")], SCHEMA)
+    (row,) = R.repair(R.damage(table), copies="copies").collect()
+    assert tuple(row) == (dropped, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+def test_repaired_rows_have_the_digest(spark):
+    rows = [r for r in odd(random.Random(3)) if r[0] is not None]
+    table = spark.createDataFrame(rows, SCHEMA)
+    digests = {r.conv_id: r.repaired_sha256 for r in R.repair(table).collect()}
+    lines = defaultdict(list)
+    for r in R.repaired_rows(table).collect():
+        lines[r.conv_id].append((r.place, f"{r.role}:{r.text}"))
+    for conv, digest in digests.items():
+        text = "\n".join(line for _, line in sorted(lines[conv]))
+        assert hashlib.sha256(text.encode()).hexdigest() == digest
+    assert R.repaired_rows(table.limit(0)).collect() == []
