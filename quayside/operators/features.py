@@ -73,15 +73,32 @@ def feature_table(master: DataFrame, codes: DataFrame) -> DataFrame:
     return engineer_features(master, codes).select("shipment_id", *FEATURES, "delay_binary")
 
 
-def stratified_split(df: DataFrame, label: str, key: str = "shipment_id", seed: int = SEED) -> DataFrame:
-    """Add ``is_train``: per label exactly ``floor(0.8 n)`` rows, the first in hash order.
+def labelled(shipments: DataFrame) -> DataFrame:
+    """Shipment ids with the label alone."""
+    return shipments.select("shipment_id", M.is_delayed(F.col("delay_days")).alias("delay_binary"))
+
+
+def split_cuts(df: DataFrame, label: str, key: str = "shipment_id", seed: int = SEED) -> dict[int, str]:
+    """Per label the hash up to which exactly ``floor(0.8 n)`` rows lie.
 
     ``df`` is read several times and should be a written table; ``label`` has few values.
     """
-    hashed = df.withColumn("_hash", hash_order(key, seed))
-    cuts = label_cuts(hashed, label, "_hash", TRAIN_SHARE)
-    by_label = cuts.agg(F.map_from_entries(F.collect_list(F.struct(label, "cut")))).scalar()
-    return hashed.withColumn("is_train", F.col("_hash") <= by_label[F.col(label)]).drop("_hash")
+    hashed = df.select(label, hash_order(key, seed).alias("_hash"))
+    return {r[label]: r["cut"] for r in label_cuts(hashed, label, "_hash", TRAIN_SHARE).collect()}
+
+
+def mark_split(df: DataFrame, label: str, cuts: dict[int, str], key: str = "shipment_id", seed: int = SEED) -> DataFrame:
+    """Add ``is_train`` by cuts that were found before."""
+    # No hash is below the empty text, so a label without training rows has none.
+    upto = F.lit("")
+    for value, cut in cuts.items():
+        upto = F.when(F.col(label) == value, F.lit(cut or "")).otherwise(upto)
+    return df.withColumn("is_train", hash_order(key, seed) <= upto)
+
+
+def stratified_split(df: DataFrame, label: str, key: str = "shipment_id", seed: int = SEED) -> DataFrame:
+    """Add ``is_train``: per label exactly ``floor(0.8 n)`` rows, the first in hash order."""
+    return mark_split(df, label, split_cuts(df, label, key, seed), key, seed)
 
 
 def plain_split(df: DataFrame, key: str = "shipment_id", seed: int = SEED) -> DataFrame:

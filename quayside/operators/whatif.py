@@ -19,12 +19,12 @@ def whatif_carrier_switch(
     carrier_from: str,
     carrier_to: str,
     n_sample: int = 50,
-    swap: str = "profile",
+    swap: str = "id",
 ) -> DataFrame:
     """Mean delay probability of the first ``n_sample`` shipments of one carrier, as they are and moved.
 
-    ``swap="profile"`` moves them to the other carrier with its rating and type, ``swap="id"`` changes the
-    carrier id only. Without shipments, or for a carrier the model has not seen, the figures are null and
+    ``swap="id"`` changes the carrier id only, ``swap="profile"`` moves them to the other carrier with its rating and
+    type. Without shipments, or for a carrier the model has not seen, the figures are null and
     ``message`` says why.
     """
     if swap not in ("profile", "id"):

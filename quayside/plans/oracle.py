@@ -514,22 +514,4 @@ from ({_COMPARED})"""
         ),
         "fixed_report": _sql(_REPORT),
         "fixed_errors": _sql(_ERRORS),
-        "delay_classifier_metrics": _sql(
-            "select case delay_binary when 1 then 'Delayed' else 'On-Time' end as class, count(*) as support, "
-            "true as in_range from split where not is_train group by delay_binary"
-        ),
-        "delay_regressor_metrics": _sql(
-            "select count(*) as support, true as sound from split join master using (shipment_id) "
-            "where not is_train and delay_days > 0"
-        ),
-        "cost_model_metrics": _sql(
-            "select count(*) as support, true as sound from master where cost_usd is not null and "
-            "('0x' || left(md5(shipment_id || '-42'), 8))::bigint / 4294967296::double >= 0.8::double"
-        ),
-        "feature_importance": "select 13::bigint as features, 13::bigint as in_range, 1.0::double as total",
-        "score_shipments": _sql("select shipment_id, true as in_range, true as fits_prediction from master"),
-        "whatif_carrier_switch": _sql(
-            "select 'C000003' as carrier_from, 'C000003' as carrier_to, least(count(*), 50) as shipments, "
-            "0.0::double as change, '+0.0%' as change_text from master where carrier_id = 'C000003'"
-        ),
     }

@@ -55,6 +55,11 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Removes what this application staged, once nothing reads it any more."""
     root = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))

@@ -42,7 +42,7 @@ def test_encoding_is_the_same_without_broadcast(prepared, master):
 def test_split_is_reproducible_and_complete(prepared):
     train, test = training.split(prepared)
     assert train.count() + test.count() == prepared.inputs.count()
-    again, _ = training.split(prepared)
+    again, _ = training.split(training.prepare(prepared.master))
     assert train.select("shipment_id").exceptAll(again.select("shipment_id")).isEmpty()
 
 
