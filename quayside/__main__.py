@@ -15,13 +15,13 @@ from quayside.sources import files
 
 
 def audit(spark: SparkSession, args: argparse.Namespace) -> None:
-    raw = files.read_raw_tables(spark, args.raw, multiline=not args.one_line)
+    raw = files.read_raw_tables(spark, args.raw, multiline=False if args.one_line else None)
     for report in (quality.table_audit, quality.schema_audit):
         quality.audit_tables(report, raw).show(100, truncate=False)
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = etl.run_etl(spark, args.raw, args.processed, multiline=not args.one_line)
+    tables = etl.run_etl(spark, args.raw, args.processed, multiline=False if args.one_line else None)
     for report in ("audit", "schema_audit"):
         tables[report].show(100, truncate=False)
     quality.shipment_quality_metrics(tables["shipments"]).show()
@@ -77,7 +77,7 @@ def parser() -> argparse.ArgumentParser:
     shown.add_argument("--compare", nargs=2, metavar=("FROM", "TO"))
     moved = command("whatif", whatif, "processed", "models", "carrier_from", "carrier_to")
     moved.add_argument("--sample", type=int, default=50)
-    moved.add_argument("--swap", choices=["profile", "id"], default="profile")
+    moved.add_argument("--swap", choices=["profile", "id"], default="id")
     return root
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.functions import display as D
 from quayside.functions import measures as M
 from quayside.functions.ordering import hash_order
-
+from quayside.operators import states as S
 
 Years = Sequence[int] | None
 Regions = Sequence[str] | None
@@ -34,6 +34,10 @@ def kpi_strip(master: DataFrame, years: Years, regions: Regions) -> DataFrame:
         M.mean_cost(F.col("cost_usd")).alias("avg_cost_usd"),
         F.avg("transit_days").alias("avg_transit_days"),
     )
+    return _shown_strip(figures)
+
+
+def _shown_strip(figures: DataFrame) -> DataFrame:
     return figures.withColumns(
         {
             "total_shipments_text": D.grouped(F.col("total_shipments"), 0),
@@ -57,9 +61,11 @@ def delay_histogram(master: DataFrame, years: Years, regions: Regions, max_bins:
 
     Shipments are counted per day first; the bins are merged from those counts.
     """
-    per_day = (
-        selected(master, years, regions).where("delay_days > 0").groupBy("delay_days").agg(F.count("*").alias("n"))
-    )
+    late = selected(master, years, regions).where("delay_days > 0")
+    return _histogram(late.groupBy("delay_days").agg(F.count("*").alias("n")), max_bins)
+
+
+def _histogram(per_day: DataFrame, max_bins: int) -> DataFrame:
     ends = per_day.agg(F.struct(F.min("delay_days").alias("a"), F.max("delay_days").alias("b"))).scalar()
     widths = [step * 10**power for power in range(7) for step in (1, 2, 5)]
     fits = [f"when floor(_ends.b / {w}) - floor(_ends.a / {w}) < {max_bins} then {w}" for w in widths]
@@ -120,6 +126,10 @@ def carrier_compare(
         M.mean_cost(F.when(name == carrier_from, cost)).alias("from_avg_cost"),
         M.mean_cost(F.when(name == carrier_to, cost)).alias("to_avg_cost"),
     )
+    return _shown_comparison(figures, carrier_from, carrier_to)
+
+
+def _shown_comparison(figures: DataFrame, carrier_from: str, carrier_to: str) -> DataFrame:
     rate_change = F.col("to_on_time_rate") - F.col("from_on_time_rate")
     cost_change = F.col("to_avg_cost") - F.col("from_avg_cost")
     return figures.select(
@@ -144,3 +154,36 @@ def filter_options(master: DataFrame) -> DataFrame:
     )
     options = named.unpivot([], named.columns, "option", "value")
     return options.dropna(subset=["value"]).distinct().orderBy("option", "value")
+
+
+# The same from a board of additive states (``states.board``), which no shipment is read for.
+
+
+def kpi_strip_of_board(board: DataFrame, years: Years, regions: Regions) -> DataFrame:
+    figures = selected(board, years, regions).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_shipments"),
+        S.on_time_share().alias("on_time_rate"),
+        S.mean_late().alias("avg_delay_delayed"),
+        S.mean_cost().alias("avg_cost_usd"),
+        S.mean_transit().alias("avg_transit_days"),
+    )
+    return _shown_strip(figures)
+
+
+def delay_histogram_of_board(board: DataFrame, years: Years, regions: Regions, max_bins: int = 20) -> DataFrame:
+    late = selected(board, years, regions).where("delay_days > 0")
+    return _histogram(late.groupBy("delay_days").agg(F.sum("n").alias("n")), max_bins)
+
+
+def carrier_compare_of_board(
+    board: DataFrame, years: Years, regions: Regions, carrier_from: str, carrier_to: str
+) -> DataFrame:
+    name = F.col("carrier_name")
+    own, other = name == carrier_from, name == carrier_to
+    figures = selected(board, years, regions).where(name.isin(carrier_from, carrier_to)).agg(
+        S.on_time_share(own).alias("from_on_time_rate"),
+        S.on_time_share(other).alias("to_on_time_rate"),
+        S.mean_cost(own).alias("from_avg_cost"),
+        S.mean_cost(other).alias("to_avg_cost"),
+    )
+    return _shown_comparison(figures, carrier_from, carrier_to)

@@ -13,18 +13,21 @@ def datasets(
     regions: D.Regions = None,
     carriers: tuple[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """``relations`` holds the wide table and the KPI views by name; ``carriers`` are two names to compare."""
-    master = relations["master"]
+    """``relations`` holds the wide table, the board and the KPI views by name; ``carriers`` are two names to compare.
+
+    Only the sample of shipments reads the wide table.
+    """
+    board = relations["board"]
     found = {
-        "filter_options": D.filter_options(master),
-        "kpi_strip": D.kpi_strip(master, years, regions),
+        "filter_options": D.filter_options(board),
+        "kpi_strip": D.kpi_strip_of_board(board, years, regions),
         "monthly_trend": D.monthly_trend(relations["v_monthly_kpis"], years),
-        "delay_histogram": D.delay_histogram(master, years, regions),
+        "delay_histogram": D.delay_histogram_of_board(board, years, regions),
         "carrier_ranking": D.carrier_ranking(relations["v_carrier_kpis"]),
         "port_bubble": D.port_bubble(relations["v_port_congestion"]),
         "top_routes": D.top_routes(relations["v_route_performance"]),
-        "cost_delay_sample": D.cost_delay_sample(master, years, regions),
+        "cost_delay_sample": D.cost_delay_sample(relations["master"], years, regions),
     }
     if carriers and carriers[0] != carriers[1]:
-        found["carrier_compare"] = D.carrier_compare(master, years, regions, *carriers)
+        found["carrier_compare"] = D.carrier_compare_of_board(board, years, regions, *carriers)
     return found

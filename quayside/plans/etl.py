@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators import marts
+from quayside.operators import marts, states
 from quayside.operators.clean import CLEANERS
 from quayside.operators.enrich import join_master, weather_daily_max
 from quayside.operators.quality import audit_tables, row_counts, schema_audit, table_audit
+from quayside.plans import views
 from quayside.session import stage
-from quayside.sources import files
+from quayside.sources import catalog, files
 
 KPI_VIEWS = ["v_carrier_kpis", "v_port_congestion", "v_route_performance", "v_monthly_kpis"]
 
@@ -19,8 +20,9 @@ def clean_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: CLEANERS[name](df) for name, df in raw.items()}
 
 
-def run_etl(spark: SparkSession, raw_dir: str, out_dir: str, multiline: bool = True) -> dict[str, DataFrame]:
-    """Audit what was delivered, clean and write the tables under ``out_dir``, then the wide table and the marts.
+def run_etl(spark: SparkSession, raw_dir: str, out_dir: str, multiline: bool | None = None) -> dict[str, DataFrame]:
+    """Audit what was delivered, clean and write the tables under ``out_dir``, then the wide table, the additive states
+    and the marts.
 
     The result has the audit beside the tables, as ``audit`` and ``schema_audit``.
     """
@@ -31,13 +33,35 @@ def run_etl(spark: SparkSession, raw_dir: str, out_dir: str, multiline: bool = T
     daily = stage(weather_daily_max(tables["weather"]), "weather-daily")
     master = join_master(tables["shipments"], tables["carriers"], tables["ports"], daily)
     files.write_parquet_tables({"master": master}, out_dir)
+    files.write_states(all_states(tables), out_dir)
     files.write_marts(kpi_views(tables), out_dir)
     return read_tables(spark, out_dir) | {"audit": audit, "schema_audit": audit_tables(schema_audit, raw)}
 
 
+def all_states(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The states that marts, views and the dashboard follow from."""
+    shipments = tables["shipments"]
+    return states.states(shipments) | {"board": states.board(shipments, tables["carriers"], tables["ports"])}
+
+
+def load_years(spark: SparkSession, shipments: DataFrame, out_dir: str) -> None:
+    """Replace the years that cleaned ``shipments`` hold, in the shipments and the states under ``out_dir``.
+
+    Other years are neither read nor written.
+    """
+    fresh = stage(shipments, "delivered-years")
+    files.write_states({"shipments": fresh}, out_dir)
+    sides = files.read_parquet_tables(spark, out_dir, ["carriers", "ports"])
+    files.write_states(all_states({"shipments": fresh, **sides}), out_dir)
+
+
+def read_states(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    return files.read_parquet_tables(spark, out_dir, files.STATES)
+
+
 def read_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """Tables, wide table and marts as ``run_etl`` wrote them."""
-    return files.read_parquet_tables(spark, out_dir, [*files.TABLE_ORDER, *KPI_VIEWS])
+    """Tables, wide table, states and marts as ``run_etl`` wrote them."""
+    return files.read_parquet_tables(spark, out_dir, [*files.TABLE_ORDER, *files.STATES, *KPI_VIEWS])
 
 
 def kpi_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -68,8 +92,19 @@ def publish(tables: dict[str, DataFrame]) -> None:
 
 
 def save(tables: dict[str, DataFrame], database: str | None = None) -> None:
-    """Replace tables, wide table and marts in the catalog, where they outlive the session."""
-    files.save_tables({name: df for name, df in tables.items() if name in [*files.TABLE_ORDER, *KPI_VIEWS]}, database)
+    """Replace tables, wide table and states in the catalog, where they outlive the session, each in one switch, and
+    create the KPI views over them. States that are not given come from the shipments."""
+    saved = {name: df for name, df in tables.items() if name in [*files.TABLE_ORDER, *files.STATES]}
+    if {"shipments", "carriers", "ports"} <= set(saved):
+        saved = all_states(saved) | saved
+    files.save_tables(saved, database)
+    if {*states.KEYS, "carriers", "ports"} <= set(saved):
+        catalog.create_views(saved["carriers"].sparkSession, views.KPI_SQL, database)
+
+
+def saved_check(spark: SparkSession, database: str) -> DataFrame:
+    """The check after a load, on the views as any later session finds them."""
+    return post_load_check(*(catalog.table(spark, name, database) for name in ("v_carrier_kpis", "v_monthly_kpis")))
 
 
 def post_load_check(carrier_kpis: DataFrame, monthly_kpis: DataFrame) -> DataFrame:

@@ -386,7 +386,7 @@ def oracle_sql() -> dict[str, str]:
     tables = ["carriers", "ports", "shipments", "weather", "master"]
     views = ["v_carrier_kpis", "v_port_congestion", "v_route_performance", "v_monthly_kpis"]
     routes_min100 = MARTS["v_route_performance"].replace("count(*) >= 5", "count(*) >= 100")
-    return {
+    found = {
         "clean_carriers": _raw("select * from carriers"),
         "clean_ports": _raw("select * from ports"),
         "clean_shipments": _raw("select * from shipments"),
@@ -515,3 +515,9 @@ from ({_COMPARED})"""
         "fixed_report": _sql(_REPORT),
         "fixed_errors": _sql(_ERRORS),
     }
+    # What is computed in another way has the SQL of what it has to equal.
+    same = {"year_load": "carrier_kpis", "saved_load_check": "post_load_check"}
+    same |= {f"board_{name}": name for name in ("kpi_strip", "delay_histogram", "carrier_compare", "filter_options")}
+    saved = {f"saved_{view}": _sql(f"select * from {view}") for view in views}
+    counts = " union all ".join(f"select '{view}' as relation, count(*) as n_rows from {view}" for view in views)
+    return found | saved | {"saved_views": _sql(counts)} | {name: found[as_] for name, as_ in same.items()}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quayside.functions import measures as M
 from quayside.functions.casting import null_tokens_to_null
 from quayside.functions.joins import broadcast_if_small
-from quayside.operators import clean, dashboards, enrich, features, marts, models, quality, whatif
+from quayside.operators import clean, dashboards, enrich, features, marts, models, quality, states, whatif
 from quayside.plans import etl, training
 from quayside.session import stage, staging_path
 from quayside.sources import files, testdata
@@ -187,22 +187,88 @@ def csv_tables(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_carriers(files.read_csv(spark, f"{folder}/carriers.csv"))
 
 
-def saved_tables(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of the tables in a catalog database that the batch saved them to; the database goes again."""
+def _in_database(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``work`` finds in a database of its own; the database goes again."""
     location = staging_path(spark, "database")
     database = "quayside_" + location.rpartition("-")[2]
     spark.sql(f"create database {database} location '{location}'")
     try:
-        marts_by_name = {"v_carrier_kpis": carrier_kpis(spark, sf), "v_monthly_kpis": monthly_kpis(spark, sf)}
-        etl.save({"carriers": carriers(spark, sf), "ports": ports(spark, sf), **marts_by_name}, database)
-        names = ["carriers", "ports", *marts_by_name]
-        found = files.read_relations(spark, [f"{database}.{name}" for name in names])
-        counts = quality.row_counts({name.partition(".")[2]: df for name, df in found.items()})
-        return stage(counts, "saved-counts")
+        return stage(work(database), "found-in-database")
     finally:
         spark.sql(f"drop database {database} cascade")
 
 
+def saved_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the tables and views in a catalog database that the batch saved them to."""
+
+    def work(database: str) -> DataFrame:
+        tables = {"carriers": carriers(spark, sf), "ports": ports(spark, sf), "shipments": written_shipments(spark, sf)}
+        etl.save(tables, database)
+        names = ["carriers", "ports", "v_carrier_kpis", "v_monthly_kpis"]
+        found = files.read_relations(spark, [f"{database}.{name}" for name in names])
+        return quality.row_counts({name.partition(".")[2]: df for name, df in found.items()})
+
+    return _in_database(spark, work)
+
+
+def saved_views(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the four KPI views as another session opens them by name, after the tables below them were replaced."""
+
+    def work(database: str) -> DataFrame:
+        fact = written_shipments(spark, sf)
+        tables = {"carriers": carriers(spark, sf), "ports": ports(spark, sf)}
+        etl.save(tables | states.states(fact.where("departure_year = 1996")), database)
+        files.save_tables(states.states(fact), database)
+        later = spark.newSession()
+        return quality.row_counts({name: later.table(f"{database}.{name}") for name in etl.KPI_VIEWS})
+
+    return _in_database(spark, work)
+
+
+def saved_view(name: str) -> Query:
+    """The rows of one KPI view of a saved database."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        def work(database: str) -> DataFrame:
+            sides = {"carriers": carriers(spark, sf), "ports": ports(spark, sf)}
+            etl.save(sides | states.states(written_shipments(spark, sf)), database)
+            return spark.table(f"{database}.{name}")
+
+        return _in_database(spark, work)
+
+    return query
+
+
+def saved_load_check(spark: SparkSession, sf: str) -> DataFrame:
+    """The check after the load, on what was saved."""
+
+    def work(database: str) -> DataFrame:
+        sides = {"carriers": carriers(spark, sf), "ports": ports(spark, sf)}
+        etl.save(sides | states.states(written_shipments(spark, sf)), database)
+        return etl.saved_check(spark.newSession(), database)
+
+    return _in_database(spark, work)
+
+
+@lru_cache(maxsize=4)
+def board(spark: SparkSession, sf: str) -> DataFrame:
+    """The board as the load writes it."""
+    folder = staging_path(spark, "states")
+    sides = carrier_side(spark, sf), port_side(spark, sf)
+    files.write_states({"board": states.board(shipments(spark, sf), *sides)}, folder)
+    return files.read_parquet_tables(spark, folder, ["board"])["board"]
+
+
+def year_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Carrier figures from states of which one year was delivered wrong first and then again."""
+    folder = staging_path(spark, "years")
+    fact = written_shipments(spark, sf)
+    files.write_parquet_tables({"carriers": carriers(spark, sf), "ports": ports(spark, sf)}, folder)
+    etl.load_years(spark, fact.where("departure_year <> 1996 or transit_days > 20"), folder)
+    etl.load_years(spark, fact.where("departure_year = 1996"), folder)
+    return states.carrier_kpis(etl.read_states(spark, folder)["carrier_state"], carrier_side(spark, sf))
+
+
 @lru_cache(maxsize=4)
 def written_shipments(spark: SparkSession, sf: str) -> DataFrame:
     return stage(shipments(spark, sf), "shipments")
@@ -247,7 +313,7 @@ MODELS = (delay_classifier, delay_regressor, cost_model)
 
 def clear_caches() -> None:
     """Forget what queries keep for each other, as at the start of a session."""
-    tables = (shipments, carriers, ports, weather, carrier_side, port_side, written_shipments, wide_table, prepared)
+    tables = (shipments, carriers, ports, weather, carrier_side, port_side, written_shipments, wide_table, prepared, board)
     for kept in (*tables, *MODELS):
         kept.cache_clear()
 
@@ -358,6 +424,10 @@ def queries() -> dict[str, Query]:
         "ports_csv_ingest": ports_csv_ingest,
         "csv_tables": csv_tables,
         "saved_tables": saved_tables,
+        "saved_views": saved_views,
+        "saved_load_check": saved_load_check,
+        **{f"saved_{name}": saved_view(name) for name in etl.KPI_VIEWS},
+        "year_load": year_load,
         "etl_row_counts": etl_row_counts,
         "etl_audit": etl_audit,
         "schema_audit": schema_audit,
@@ -389,6 +459,12 @@ def queries() -> dict[str, Query]:
             with_origin_and_carrier(s, d), YEARS, REGIONS, CARRIER_FROM, CARRIER_TO
         ),
         "filter_options": lambda s, d: dashboards.filter_options(with_origin_and_carrier(s, d)),
+        "board_kpi_strip": lambda s, d: dashboards.kpi_strip_of_board(board(s, d), YEARS, REGIONS),
+        "board_delay_histogram": lambda s, d: dashboards.delay_histogram_of_board(board(s, d), YEARS, REGIONS),
+        "board_carrier_compare": lambda s, d: dashboards.carrier_compare_of_board(
+            board(s, d), YEARS, REGIONS, CARRIER_FROM, CARRIER_TO
+        ),
+        "board_filter_options": lambda s, d: dashboards.filter_options(board(s, d)),
         "feature_table": feature_table,
         "stratified_split": stratified_split,
         "stratified_split_counts": stratified_split_counts,

@@ -3,29 +3,54 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.functions.casting import null_tokens_to_null
 from quayside.schema import MASTER_COLUMNS, RAW_COLUMNS
+from quayside.sources import catalog
 
 TABLE_ORDER = ["carriers", "ports", "shipments", "weather", "master"]
+STATES = ["carrier_state", "route_state", "month_state", "board"]
 # Larger tables are laid out by this column, so that a filter on it skips whole folders.
-PARTITION_COLUMNS = {"master": "departure_year", "shipments": "departure_year"}
+PARTITION_COLUMNS = dict.fromkeys(["master", "shipments", *STATES], "departure_year")
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def spanning_files(spark: SparkSession, path: str) -> dict[str, bool]:
+    """The files at ``path``, and whether a quoted value in them holds a line break.
+
+    Quotes come in pairs, also doubled ones inside a value, so a line with an odd number of them ends inside a value. All
+    tasks look at lines; one row per file comes back.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (quotes % 2 == 1).alias("odd"))
+    # File names come as they stand in addresses.
+    return {unquote(r.file): r.odd for r in lines.groupBy("file").agg(F.bool_or("odd").alias("odd")).collect()}
+
+
+def read_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """A CSV with header, every column as text, "no value" texts as null. A missing path is an error.
 
-    Quoted values may hold line breaks, for which a file has to be read by one task. Where no value does,
-    ``multiline=False`` lets tasks share a file.
+    Quoted values may hold line breaks, for which a file has to be read by one task. By default a scan finds the files
+    for which that is so, and tasks share the others; ``multiline`` says it for all files and saves the scan.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-    return null_tokens_to_null(reader.csv(path))
+
+    def read(paths: str | list[str], whole: bool) -> DataFrame:
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", whole).csv(paths)
+
+    if multiline is not None:
+        return null_tokens_to_null(read(path, multiline))
+    spans = spanning_files(spark, path)
+    if len(set(spans.values())) < 2:
+        return null_tokens_to_null(read(path, any(spans.values())))
+    parts = [read([f for f, odd in spans.items() if odd == whole], whole) for whole in (True, False)]
+    return null_tokens_to_null(parts[0].unionByName(parts[1]))
 
 
 def read_raw_tables(
-    spark: SparkSession, folder: str, names: Iterable[str] = tuple(RAW_COLUMNS), multiline: bool = True
+    spark: SparkSession, folder: str, names: Iterable[str] = tuple(RAW_COLUMNS), multiline: bool | None = None
 ) -> dict[str, DataFrame]:
     return {name: read_csv(spark, f"{folder}/{name}.csv", multiline) for name in names}
 
@@ -73,9 +98,16 @@ def _in_order(df: DataFrame, name: str) -> DataFrame:
 
 
 def save_tables(tables: dict[str, DataFrame], database: str | None = None) -> None:
-    """Replace the catalog tables; names that are absent are skipped."""
+    """Replace the catalog tables, each in one switch; names that are absent are skipped."""
     for name, df in _ordered(tables):
-        _laid_out(df, name).format("parquet").saveAsTable(f"{database}.{name}" if database else name)
+        catalog.replace_table(_laid_out(df, name), df.columns, df.sparkSession, name, database)
+
+
+def write_states(states: dict[str, DataFrame], folder: str) -> None:
+    """Write states by departure year. Only the years that they hold are replaced."""
+    for name, df in states.items():
+        writer = df.repartition("departure_year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("departure_year").parquet(f"{folder}/{name}")
 
 
 def _ordered(tables: dict[str, DataFrame]) -> list[tuple[str, DataFrame]]:

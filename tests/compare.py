@@ -7,7 +7,7 @@ from pathlib import Path
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages labels".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def oracle_rows(sql: str, sf_dir: str) -> tuple[list[str], list[tuple]]:

@@ -11,7 +11,7 @@ from quayside.plans import registry
 from quayside.session import stage
 
 # These train models or run whole batches before there is a plan to look at.
-EAGER = ("delay_c", "delay_r", "cost_model", "feature_importance", "score_", "whatif", "etl_", "saved_")
+EAGER = ("delay_c", "delay_r", "cost_model", "feature_importance", "score_", "whatif", "etl_", "saved_", "year_")
 
 
 def plan(df) -> str:

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from quayside.plans import etl, registry
 from quayside.schema import MASTER_COLUMNS
 from quayside.session import shared_dir, stage
-from quayside.sources import files
+from quayside.sources import catalog, files
 
 
 def test_csv_is_text_with_nulls(spark, tmp_path):
@@ -44,8 +44,8 @@ def test_save_tables_replaces_and_skips(spark):
     assert tables["default.carriers"].count() == 1
     plan = tables["default.master"].where("departure_year = 2024")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(departure_year" in plan
-    spark.sql("drop table default.carriers")
-    spark.sql("drop table default.master")
+    for name in ("carriers", "master"):
+        catalog.drop_table(spark, name, "default")
 
 
 def test_etl_and_views(spark, sf_dir, tmp_path):
