@@ -16,7 +16,8 @@ each block once. So a vector that fills a third of the table, or a page that eve
 Counts per cell go to the tasks; there are at most ``MOST_CENTROIDS`` squared.
 
 Results for odd input: vectors that are null, empty, zero, or hold a null or non-finite component take no part, nor do
-rows without an id. Rows with the query's id are the query's own. Equal vectors tie and go by id. With fewer entries
+rows without an id. Rows of one id are one entry and one query, with the smallest of their vectors, so that no id is found
+twice; it asks if any of them does. Equal vectors tie and go by id. With fewer entries
 than asked for all are returned; an empty table gives an empty result. Vectors of different lengths are refused with
 an error. Other columns are ignored.
 """
@@ -33,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.functions.joins import broadcast_if_small
 from quayside.session import stage
 
 SAMPLE = 16_384
@@ -209,6 +211,18 @@ def _rank_units(batches: Iterator[pa.RecordBatch], book: Codebook, top: int) ->
     yield from unit.best(book, top)
 
 
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """``id, vector, asks`` with one row per id. Only vectors whose id is repeated are shuffled."""
+    counts = rows.groupBy("id").agg(F.count("*").alias("n"))
+    repeated = stage(counts.where("n > 1").select("id"), "repeated-ids")
+    if repeated.isEmpty():
+        return rows
+    repeated = broadcast_if_small(repeated)
+    merged = rows.join(repeated, "id", "left_semi").groupBy("id")
+    merged = merged.agg(F.min("vector").alias("vector"), F.bool_or("asks").alias("asks"))
+    return rows.join(repeated, "id", "left_anti").unionByName(merged)
+
+
 def search(
     embeddings: DataFrame, is_query: Column, top: int = 20, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -222,6 +236,7 @@ def search(
     if len(lengths) > 1:
         raise ValueError(f"vectors of different lengths: {sorted(row['size'] for row in lengths)}")
     size, n = lengths[0]
+    chosen = one_per_id(chosen)
     shared = spark.sparkContext.broadcast(fit(chosen, n))
     book = shared.value
     firsts, seconds = len(book.first), len(book.second)

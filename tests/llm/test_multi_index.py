@@ -58,6 +58,34 @@ def test_equal_vectors_go_by_id(spark):
             assert [v for v, _ in got] == best
 
 
+def test_repeated_rows_and_ids(spark):
+    """Rows repeated, ids with several vectors, queries among both; every neighbour is found once."""
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(800, 8)).astype(np.float32)
+    ids = list(range(800))
+    rows, own = list(vectors), list(ids)
+    for k in (0, 20, 21, 40, 41, 42):
+        rows += [vectors[k]] * 5
+        own += [k] * 5
+    others = {60: rng.normal(size=8), 61: rng.normal(size=8), 100: rng.normal(size=8)}
+    for k, other in others.items():
+        rows += [other.astype(np.float32)] * 3
+        own += [k] * 3
+    rows += [vectors[7]] * 300
+    own += [7] * 300
+    found = results(multi_index.search(frame(spark, rows, own), F.col("vec_id") % 20 == 0, top=20))
+    for k, other in others.items():
+        vectors[k] = min(tuple(vectors[k]), tuple(other.astype(np.float32)))
+    assert set(found) == set(range(0, 800, 20))
+    hits = 0
+    for q, got in found.items():
+        best, scores = nearest(vectors, q, 20)
+        assert len({v for v, _ in got}) == len(got) == 20 and q not in dict(got)
+        assert all(score == pytest.approx(scores[v], abs=1e-9) for v, score in got)
+        hits += len(set(best) & set(dict(got)))
+    assert hits / (20 * len(found)) >= 0.9
+
+
 def test_few_entries_give_all(spark):
     vectors = np.eye(4)[:, :4] + 0.5
     found = results(multi_index.search(frame(spark, vectors), F.col("vec_id") == 1, top=20))
