@@ -116,7 +116,7 @@ def test_odd_inputs(spark):
     df = df.selectExpr("*", "'a' as id", "'b' as vector", "1 as page", "2 as asks", "3 as floor")
     found = results(multi_index.search(df, F.col("vec_id") % 20 == 0, top=70))
     assert set(found) == {0, 20, 40}
-    assert all(len(got) == 60 and q not in dict(got) for q, got in found.items())
+    assert all(len({v for v, _ in got}) == len(got) == 59 and q not in dict(got) for q, got in found.items())  # id 5 once
     nothing = multi_index.search(df.where("vec_id > 90"), F.col("vec_id") % 20 == 0)
     assert nothing.count() == 0 and nothing.columns == ["query_id", "rank", "vec_id", "score"]
     assert multi_index.search(frame(spark, vectors), F.lit(False)).count() == 0
