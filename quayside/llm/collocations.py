@@ -15,11 +15,12 @@ any part of it, so a pass only emits what the one before leaves possible: pairs
 Tasks know these from a table of bits of fixed size (16 MB) in which each frequent phrase sets two. A phrase that meets
 set bits by chance is counted and then dropped by its true count, so results are exact at any size; a corpus that fills
 the table only loses the saving. A run is counted once at its full length, and shorter ones are the sums over the runs
-that they begin: one prefix-ordered stream gives the counts of all lengths.
+that they begin, which are neighbours in prefix order: one pass over the sorted stream gives the counts of all lengths.
 
 Scale. Tasks merge equal phrases of about 16 MB of text before they emit, and Spark merges again before it shuffles, so a
 language, word or passage with a third of all rows is split over all tasks; keys are phrases, not languages. The first
-``top`` per language are taken from parts of each language first. Only the table of bits reaches the driver.
+``top`` per language are taken from parts of each language first, so that the last ranking of a language has at most 64
+times ``top`` rows. Only the table of bits reaches the driver.
 
 Results for odd input: a null text is an empty one, a null language is ``und``, and repeated rows count as often as they
 come. Texts without words add nothing. An empty table, or one without frequent phrases, gives no rows. Ties in score and
@@ -142,21 +143,21 @@ def some_texts(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.Array]]:
             first = last
 
 
-def word_counts(words: Words, lang: str) -> tuple[pa.Array, np.ndarray]:
-    return words.distinct, np.bincount(words.places, minlength=len(words.distinct))
+def word_counts(words: Words, lang: str) -> tuple[list[pa.Array], np.ndarray]:
+    return [words.distinct.cast(pa.binary())], np.bincount(words.places, minlength=len(words.distinct))
 
 
-def pair_counts(words: Words, lang: str, bits: Bits) -> tuple[pa.Array, np.ndarray]:
+def pair_counts(words: Words, lang: str, bits: Bits) -> tuple[list[pa.Array], np.ndarray]:
     """Pairs of words that both may be frequent."""
     hot = bits.has(words.hashes(lang))[words.places]
     at = np.flatnonzero(words.joined[:-1] & hot[:-1] & hot[1:])
     size = len(words.distinct)
     pairs, counts = np.unique(words.places[at] * size + words.places[at + 1], return_counts=True)
-    return words.phrases(pairs // size, pairs % size), counts
+    return [words.phrases(pairs // size, pairs % size).cast(pa.binary())], counts
 
 
-def run_counts(words: Words, lang: str, bits: Bits, longest: int) -> tuple[pa.Array, np.ndarray]:
-    """From every place the longest run of three words up, of pairs that all may be frequent."""
+def run_counts(words: Words, lang: str, bits: Bits, longest: int) -> tuple[list[pa.Array], np.ndarray]:
+    """From every place the longest run of three words up, of pairs that all may be frequent; one column per word."""
     hashes = words.hashes(lang)[words.places]
     ok = np.append(words.joined[:-1] & bits.has(mixed(hashes[:-1], hashes[1:])), np.zeros(longest, bool))
     n = len(words.places)
@@ -164,23 +165,62 @@ def run_counts(words: Words, lang: str, bits: Bits, longest: int) -> tuple[pa.Ar
     for k in range(1, longest):
         length += reach
         reach &= ok[k : k + n]
-    phrases, counts = [], []
+    columns, counts = [[] for _ in range(longest)], []
     for size in range(3, longest + 1):
         at = np.flatnonzero(length == size)
-        if not len(at):
-            continue
         # Numbers of runs of one word, then two, ... stay below the square of the distinct words.
         number = words.places[at]
         for k in range(1, size):
             _, number = np.unique(number * len(words.distinct) + words.places[at + k], return_inverse=True)
         _, first, count = np.unique(number, return_index=True, return_counts=True)
-        phrases.append(words.phrases(*[words.places[at[first] + k] for k in range(size)]))
+        for k, column in enumerate(columns):
+            found = words.distinct.take(pa.array(words.places[at[first] + k])) if k < size else pa.nulls(len(first), pa.large_binary())
+            column.append(found.cast(pa.binary()))
         counts.append(count)
-    return (pa.concat_arrays(phrases), np.concatenate(counts)) if phrases else (pa.array([], pa.large_binary()), np.array([], np.int64))
+    return [pa.concat_arrays(c) for c in columns], np.concatenate(counts)
 
 
-def counted(docs: DataFrame, count, **given) -> DataFrame:
-    """Sums of ``count`` over all texts: ``lang``, ``phrase`` and ``f``."""
+def prefix_counts(runs: DataFrame, least: int, longest: int) -> DataFrame:
+    """Counts of the phrases of three words up that begin runs, from the stream of runs in prefix order.
+
+    There a phrase is a stretch of neighbours, so sums over stretches are all that it takes. What a batch cuts off goes on
+    as a part; stretches inside it are whole, and those below ``least`` end there.
+    """
+    names = [f"w{k}" for k in range(1, longest + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            f = batch.column(longest + 1).to_numpy()
+            starts_here = np.zeros(batch.num_rows, bool)
+            starts_here[0] = True
+            for k, column in enumerate(batch.columns[: longest + 1]):
+                known = column.fill_null("" if k == 0 else b"")
+                starts_here[1:] |= pc.not_equal(known[1:], known[:-1]).to_numpy(zero_copy_only=False)
+                if k < 3:
+                    continue
+                starts = np.flatnonzero(starts_here)
+                sums = np.add.reduceat(f, starts)
+                kept = sums >= least
+                kept[[0, -1]] = True
+                kept &= column.is_valid().to_numpy(zero_copy_only=False)[starts]
+                at = pa.array(starts[kept])
+                words = [c.take(at) for c in batch.columns[1 : k + 1]]
+                phrases = pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), phrases, pa.array(sums[kept])], ["lang", "phrase", "f"])
+
+    # Only where a run goes is hashed: phrases of one beginning lie in one task, in order.
+    streams = runs.select("lang", *names, "f").repartition("lang", *names[:3]).sortWithinPartitions("lang", *names)
+    return summed(streams.mapInArrow(run, "lang string, phrase binary, f bigint"))
+
+
+def summed(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).withColumn("phrase", F.col("phrase").cast("string"))
+
+
+def counted(docs: DataFrame, count, names: list[str], **given) -> DataFrame:
+    """What ``count`` finds in portions of the texts: ``lang``, its words or phrases under ``names``, and ``f``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {k: Bits(v.value) if k == "bits" else v for k, v in given.items()}
@@ -189,12 +229,11 @@ def counted(docs: DataFrame, count, **given) -> DataFrame:
                 words = Words(texts)
                 if not len(words.places):
                     continue
-                phrases, counts = count(words, lang, **known)
-                columns = [pa.repeat(lang, len(phrases)), phrases.cast(pa.binary()), pa.array(counts, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f"])
+                columns, counts = count(words, lang, **known)
+                whole_columns = [pa.repeat(lang, len(counts)), *columns, pa.array(counts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(whole_columns, ["lang", *names, "f"])
 
-    found = docs.mapInArrow(run, "lang string, phrase binary, f bigint")
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).withColumn("phrase", F.col("phrase").cast("string"))
+    return docs.mapInArrow(run, f"lang string, {', '.join(f'{c} binary' for c in names)}, f bigint")
 
 
 def phrase_counts(docs: DataFrame, least: int, longest: int, lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -203,7 +242,7 @@ def phrase_counts(docs: DataFrame, least: int, longest: int, lang: str = "lang",
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), whole(text).alias("text"))
     enough = F.col("f") >= least
     # One row per language, with no phrase, carries the number of words.
-    every = counted(texts, word_counts)
+    every = summed(counted(texts, word_counts, ["phrase"]))
     sums = F.struct("lang", F.when(enough, F.col("phrase")).alias("phrase"))
     kept = every.groupBy(sums.alias("key")).agg(F.sum("f").alias("f")).select("key.lang", "key.phrase", "f")
     words = stage(kept, "collocation-words")
@@ -212,14 +251,11 @@ def phrase_counts(docs: DataFrame, least: int, longest: int, lang: str = "lang",
     lists = [frequent]
     if longest >= 2:
         bits = spark.sparkContext.broadcast(frequent_bits(frequent))
-        lists.append(stage(counted(texts, pair_counts, bits=bits).where(enough), "collocation-pairs"))
+        lists.append(stage(summed(counted(texts, pair_counts, ["phrase"], bits=bits)).where(enough), "collocation-pairs"))
     if longest >= 3:
         bits = spark.sparkContext.broadcast(frequent_bits(lists[1]))
-        runs = counted(texts, run_counts, bits=bits, longest=longest)
-        begins = F.transform(F.sequence(F.lit(3), F.size("words")), lambda k: _joined(F.slice("words", 1, k)))
-        longer = runs.select("lang", F.split("phrase", " ").alias("words"), "f")
-        longer = longer.select("lang", F.explode(begins).alias("phrase"), "f").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-        lists.append(stage(longer.where(enough), "collocation-runs"))
+        runs = counted(texts, run_counts, [f"w{k}" for k in range(1, longest + 1)], bits=bits, longest=longest)
+        lists.append(stage(prefix_counts(runs, least, longest).where(enough), "collocation-runs"))
     found = lists[0]
     for more in lists[1:]:
         found = found.unionByName(more)

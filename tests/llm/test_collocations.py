@@ -60,6 +60,16 @@ def test_equals_plain_counting(spark, least, longest, top, share):
     assert sorted(map(tuple, found.collect())) == plain(rows, least, longest, top, share)
 
 
+def test_batches_may_cut_stretches(spark):
+    rows = corpus(random.Random(11), 200)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        found = C.collocations(spark.createDataFrame(rows, DOCUMENT), 8, 5, 2000, 100)
+        assert sorted(map(tuple, found.collect())) == plain(rows, 8, 5, 2000, 100)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_a_full_table_of_bits_changes_nothing(spark, monkeypatch):
     """What passes by chance goes by its true count."""
     rows = corpus(random.Random(9), 150)
@@ -75,7 +85,8 @@ def test_small_portions_change_nothing(monkeypatch):
     def counts():
         total = Counter()
         for lang, texts in C.some_texts(batch):
-            for phrase, n in zip(*C.word_counts(C.Words(texts), lang)):
+            (phrases,), counts = C.word_counts(C.Words(texts), lang)
+            for phrase, n in zip(phrases, counts):
                 total[lang, phrase.as_py()] += int(n)
         return total
 
