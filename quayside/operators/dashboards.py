@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions import display as D
@@ -12,6 +12,9 @@ from quayside.functions import measures as M
 from quayside.functions.ordering import hash_order
 from quayside.operators import states as S
 
+# Shipments of a sample, and of each year and origin region that samples are merged from.
+SAMPLED, SAMPLE_SEED = 300, 42
+
 Years = Sequence[int] | None
 Regions = Sequence[str] | None
 
@@ -106,7 +109,7 @@ def top_routes(routes: DataFrame, n: int = 15) -> DataFrame:
 
 
 def cost_delay_sample(
-    master: DataFrame, years: Years, regions: Regions, n: int = 300, seed: int = 42
+    master: DataFrame, years: Years, regions: Regions, n: int = SAMPLED, seed: int = SAMPLE_SEED
 ) -> DataFrame:
     """A reproducible random sample of at most ``n`` shipments: the first ``n`` in hash order."""
     drawn = selected(master, years, regions).orderBy(hash_order("shipment_id", seed), "shipment_id").limit(n)
@@ -187,3 +190,27 @@ def carrier_compare_of_board(
         S.mean_cost(other).alias("to_avg_cost"),
     )
     return _shown_comparison(figures, carrier_from, carrier_to)
+
+
+def samples(shipments: DataFrame, carriers: DataFrame, ports: DataFrame, n: int = SAMPLED, seed: int = SAMPLE_SEED) -> DataFrame:
+    """Per departure year and origin region the first ``n`` shipments in hash order, from which any choice of years and
+    regions has its sample: the first of a union are among the first of its parts.
+
+    Each task keeps the first of each year and port before anything is shuffled or joined.
+    """
+
+    def first(df: DataFrame, *keys: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("place", "shipment_id"))
+        return df.withColumn("_row", place).where(F.col("_row") <= n).drop("_row")
+
+    kept = ["shipment_id", "departure_year", "origin_port_id", "carrier_id", "delay_days", "cost_usd"]
+    few = first(shipments.select(*kept, hash_order("shipment_id", seed).alias("place")), "departure_year", "origin_port_id")
+    regions = ports.select(F.col("port_id").alias("origin_port_id"), F.col("region").alias("origin_region"))
+    named = few.join(regions, "origin_port_id", "left").join(carriers.select("carrier_id", "carrier_type"), "carrier_id", "left")
+    return first(named.drop("origin_port_id", "carrier_id"), "departure_year", "origin_region")
+
+
+def cost_delay_sample_of(samples: DataFrame, years: Years, regions: Regions, n: int = SAMPLED) -> DataFrame:
+    """``cost_delay_sample`` from ``samples`` of at least ``n``."""
+    drawn = selected(samples, years, regions).orderBy("place", "shipment_id").limit(n)
+    return drawn.select("shipment_id", "delay_days", "cost_usd", "carrier_type")

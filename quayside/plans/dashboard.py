@@ -13,9 +13,9 @@ def datasets(
     regions: D.Regions = None,
     carriers: tuple[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """``relations`` holds the wide table, the board and the KPI views by name; ``carriers`` are two names to compare.
+    """``relations`` holds the board, the samples and the KPI views by name; ``carriers`` are two names to compare.
 
-    Only the sample of shipments reads the wide table.
+    No shipment is read.
     """
     board = relations["board"]
     found = {
@@ -26,7 +26,7 @@ def datasets(
         "carrier_ranking": D.carrier_ranking(relations["v_carrier_kpis"]),
         "port_bubble": D.port_bubble(relations["v_port_congestion"]),
         "top_routes": D.top_routes(relations["v_route_performance"]),
-        "cost_delay_sample": D.cost_delay_sample(relations["master"], years, regions),
+        "cost_delay_sample": D.cost_delay_sample_of(relations["samples"], years, regions),
     }
     if carriers and carriers[0] != carriers[1]:
         found["carrier_compare"] = D.carrier_compare_of_board(board, years, regions, *carriers)

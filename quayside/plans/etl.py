@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators import marts, states
+from quayside.operators import dashboards, marts, states
 from quayside.operators.clean import CLEANERS
 from quayside.operators.enrich import join_master, weather_daily_max
 from quayside.operators.quality import audit_tables, row_counts, schema_audit, table_audit
@@ -40,8 +40,9 @@ def run_etl(spark: SparkSession, raw_dir: str, out_dir: str, multiline: bool | N
 
 def all_states(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The states that marts, views and the dashboard follow from."""
-    shipments = tables["shipments"]
-    return states.states(shipments) | {"board": states.board(shipments, tables["carriers"], tables["ports"])}
+    shipments, sides = tables["shipments"], (tables["carriers"], tables["ports"])
+    boards = {"board": states.board(shipments, *sides), "samples": dashboards.samples(shipments, *sides)}
+    return states.states(shipments) | boards
 
 
 def load_years(spark: SparkSession, shipments: DataFrame, out_dir: str) -> None:

@@ -517,7 +517,8 @@ from ({_COMPARED})"""
     }
     # What is computed in another way has the SQL of what it has to equal.
     same = {"year_load": "carrier_kpis", "saved_load_check": "post_load_check"}
-    same |= {f"board_{name}": name for name in ("kpi_strip", "delay_histogram", "carrier_compare", "filter_options")}
+    same |= {f"board_{name}": name for name in ("kpi_strip", "delay_histogram", "carrier_compare")}
+    same |= {f"board_{name}": name for name in ("filter_options", "cost_delay_sample")}
     saved = {f"saved_{view}": _sql(f"select * from {view}") for view in views}
     counts = " union all ".join(f"select '{view}' as relation, count(*) as n_rows from {view}" for view in views)
     return found | saved | {"saved_views": _sql(counts)} | {name: found[as_] for name, as_ in same.items()}

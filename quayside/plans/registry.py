@@ -259,6 +259,14 @@ def board(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_parquet_tables(spark, folder, ["board"])["board"]
 
 
+def samples(spark: SparkSession, sf: str) -> DataFrame:
+    """The samples as the load writes them."""
+    folder = staging_path(spark, "states")
+    sides = carrier_side(spark, sf), port_side(spark, sf)
+    files.write_states({"samples": dashboards.samples(shipments(spark, sf), *sides)}, folder)
+    return files.read_parquet_tables(spark, folder, ["samples"])["samples"]
+
+
 def year_load(spark: SparkSession, sf: str) -> DataFrame:
     """Carrier figures from states of which one year was delivered wrong first and then again."""
     folder = staging_path(spark, "years")
@@ -464,6 +472,7 @@ def queries() -> dict[str, Query]:
         "board_carrier_compare": lambda s, d: dashboards.carrier_compare_of_board(
             board(s, d), YEARS, REGIONS, CARRIER_FROM, CARRIER_TO
         ),
+        "board_cost_delay_sample": lambda s, d: dashboards.cost_delay_sample_of(samples(s, d), YEARS, REGIONS),
         "board_filter_options": lambda s, d: dashboards.filter_options(board(s, d)),
         "feature_table": feature_table,
         "stratified_split": stratified_split,

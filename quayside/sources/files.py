@@ -13,7 +13,7 @@ from quayside.schema import MASTER_COLUMNS, RAW_COLUMNS
 from quayside.sources import catalog
 
 TABLE_ORDER = ["carriers", "ports", "shipments", "weather", "master"]
-STATES = ["carrier_state", "route_state", "month_state", "board"]
+STATES = ["carrier_state", "route_state", "month_state", "board", "samples"]
 # Larger tables are laid out by this column, so that a filter on it skips whole folders.
 PARTITION_COLUMNS = dict.fromkeys(["master", "shipments", *STATES], "departure_year")
 
