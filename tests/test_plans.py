@@ -40,10 +40,13 @@ def test_audit_reads_each_table_once(spark, sf_dir):
 
 
 def test_switch_looks_for_its_shipments_once(spark, sf_dir):
-    master = registry.wide_table(spark, sf_dir)
+    master = stage(registry.wide_table(spark, sf_dir), "master")
     current = master.where("carrier_id = 'C000003'").orderBy("shipment_id").limit(50)
     both = current.withColumn("_moved", F.explode(F.array(F.lit(False), F.lit(True))))
     assert plan(both).count("TakeOrderedAndProject") == 1
+    # Over the joins, too, the shipments of the carrier are looked for in one scan.
+    lazy = registry.wide_table(spark, sf_dir).where("carrier_id = 'C000003'").orderBy("shipment_id").limit(50)
+    assert plan(lazy.withColumn("_moved", F.explode(F.array(F.lit(False), F.lit(True))))).count("EqualTo(carrier_id,C000003)") == 1
 
 
 def test_master_without_broadcast_is_the_same(spark, sf_dir):
