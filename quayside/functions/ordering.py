@@ -7,35 +7,57 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 256
+SLICES = 256  # at least, where there are keys enough
+PER_SLICE = 500_000  # keys that a slice should hold at most
+MOST_SLICES = 1 << 16
+DRAWS = 16  # keys drawn for each cut, so that slices differ little in size
+WIDE = 256  # cuts that one step of the search looks at
+
+
+def sliced(df: DataFrame, key: str) -> DataFrame:
+    """Adds ``_slice``: slices of about equal size that follow each other in ``key`` order, nulls in the first.
+
+    Their number follows the number of keys, which is counted with the draw. Keys are drawn by hash, every 16th of
+    them cuts; up to 33 billion keys a slice holds about ``PER_SLICE``, beyond that slices grow.
+    """
+    n = F.count(key)
+    wanted = F.least(F.greatest(F.ceil(n / PER_SLICE), F.lit(SLICES)), F.lit(MOST_SLICES))
+    share = df.agg((wanted * DRAWS / F.greatest(n, F.lit(1))).alias("share")).scalar()
+    drawn = df.select(key).where(F.col(key).isNotNull())
+    drawn = drawn.where(F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 30)) < share * F.lit(1 << 30))
+    cuts = F.filter(F.array_sort(F.collect_set(key)), lambda _, k: k % DRAWS == DRAWS - 1)
+    cuts = drawn.agg(cuts.alias("cuts"))
+    steps = F.sequence(F.lit(0), F.floor((F.size("cuts") - 1) / WIDE).cast("int"))
+    tree = F.when(F.size("cuts") > 0, F.transform(steps, lambda k: F.slice("cuts", k * WIDE + 1, F.lit(WIDE))))
+    # First the stretch of cuts, then the place in it: two short searches for up to 65,536 slices.
+    searched = df.withColumn("_cuts", cuts.select(tree.alias("tree")).scalar())
+    searched = searched.withColumn("_stretch", F.size(F.filter("_cuts", lambda c: c[0] <= F.col(key))))
+    place = F.size(F.filter(F.get("_cuts", F.col("_stretch") - 1), lambda c: c <= F.col(key)))
+    at = F.when(F.col("_stretch") > 0, (F.col("_stretch") - 1) * WIDE + place)
+    # Never null, so that a join on the slice adds no null check, which would move below the caller's groupBy
+    # and run for every row there.
+    return searched.withColumn("_slice", F.coalesce(at, F.lit(0))).drop("_cuts", "_stretch")
 
 
 def running_total(df: DataFrame, key: str, weight: Column, out: str, within: Sequence[str] = ()) -> DataFrame:
     """Cumulative ``weight`` in ``key`` order (per ``within``), nulls first; ``key`` is unique per ``within``.
 
-    An unpartitioned window would pull every row into one task. Here 256 of the keys, drawn by hash, cut the
-    key range into slices of about equal size; each slice is summed on its own and then shifted by the
-    total of the slices before it.
+    An unpartitioned window would pull every row into one task. Here each slice of the key range is summed on its
+    own and then shifted by the total of the slices before it.
     """
-    drawn = df.select(key).where(F.col(key).isNotNull()).orderBy(F.md5(F.col(key).cast("string"))).limit(SLICES)
-    cuts = drawn.agg(F.array_sort(F.collect_list(key))).scalar()
-    below = F.size(F.filter("_cuts", lambda c: c <= F.col(key)))
-    # Never null, so that the join on the slice adds no null check, which would move below the caller's groupBy
-    # and run for every row there.
-    sliced = df.withColumns({"_cuts": cuts, "_weight": weight}).withColumn("_slice", F.coalesce(below, F.lit(0)))
-    sliced = sliced.drop("_cuts")
+    sliced_up = sliced(df, key).withColumn("_weight", weight)
 
     group = [*within, "_slice"]
     earlier = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy(*group)
+        sliced_up.groupBy(*group)
         .agg(F.sum("_weight").alias("_total"))
         .select(*group, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
     )
     inside = Window.partitionBy(*group).orderBy(F.col(key).asc_nulls_first())
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        sliced.withColumn("_inside", F.sum("_weight").over(upto))
+        sliced_up.withColumn("_inside", F.sum("_weight").over(upto))
         .join(offsets, group)
         .withColumn(out, F.col("_inside") + F.col("_offset"))
         .drop("_slice", "_weight", "_inside", "_offset")

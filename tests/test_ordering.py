@@ -10,10 +10,21 @@ from pyspark.sql import functions as F
 from quayside.functions import ordering
 
 
-@pytest.fixture(params=[3, 256])
+@pytest.fixture(params=[(3, 16, 256), (256, 1, 7), (256, 16, 256)])
 def slices(request, monkeypatch):
-    monkeypatch.setattr(ordering, "SLICES", request.param)
-    return request.param
+    for name, value in zip(("SLICES", "DRAWS", "WIDE"), request.param):
+        monkeypatch.setattr(ordering, name, value)
+
+
+def test_slices_follow_the_number_of_keys(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SLICES", 2)
+    monkeypatch.setattr(ordering, "PER_SLICE", 50)
+    for n in (0, 1, 90, 20_000):
+        keyed = ordering.sliced(spark.range(n).selectExpr("id * 7 % 20011 as v").union(spark.sql("select null")), "v")
+        found = keyed.groupBy("_slice").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        rows = found.orderBy("_slice").collect()
+        assert sum(r.n for r in rows) == n + 1 and max(r.n for r in rows) <= max(150, 50 * (n < 100))
+        assert len(rows) >= n / 150 and all(a.high < b.low for a, b in zip(rows, rows[1:]))
 
 
 def test_running_total(spark, slices):
@@ -34,7 +45,7 @@ def test_running_total_has_no_unpartitioned_window(spark):
     total = ordering.running_total(df, "v", F.col("w"), "total")
     plan = total._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    # Over the slices (257 rows at most) and inside each slice.
+    # Over the slices and inside each slice.
     assert len(windows) == 2 and any("[_slice" in w for w in windows)
 
 
