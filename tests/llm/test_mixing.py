@@ -97,6 +97,30 @@ def test_overlapping_sources(spark):
     assert mixed.agg(F.sum("taken")).first()[0] == pytest.approx(1.5 * 4000, abs=100)
 
 
+@pytest.mark.parametrize("share", [Fraction(3, 2), Fraction(2)])
+def test_plan_of_many_patterns_equals_the_drivers(spark, monkeypatch, share):
+    rng = random.Random(6)
+    sets = [[f"s{k}"] for k in range(40)] + [[None], ["Z"], ["s1", "s2"], ["s2", "s3", "s3"], [None, "s4"], []]
+    rows = [(k, prose(rng, rng.randint(0, 30) * (k % 7 > 0)), sets[rng.randrange(len(sets)) if k % 3 else 0]) for k in range(500)]
+    rows += [(500 + k, "", [s]) for k, s in enumerate(["empty", "s3"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, sources array<string>")
+    expected = mixing.mix(docs, F.col("sources"), share=share).collect()
+    monkeypatch.setattr(mixing, "MOST_PATTERNS", 10)
+    got = mixing.mix(docs, F.col("sources"), share=share).collect()
+    assert {r.doc_id: r for r in got} == {r.doc_id: r for r in expected}
+    monkeypatch.setattr(mixing, "MOST_PATTERNS", 5)
+    with pytest.raises(ValueError):
+        mixing.mix(docs, F.col("sources")).collect()
+
+
+def test_more_sources_than_the_driver_takes(spark):
+    docs = spark.range(200_000).selectExpr("id as doc_id", "repeat('w ', int(id % 5 + 1)) as text", "'s' || id as source")
+    mixed = mixing.mix(docs, F.array("source"))
+    off = F.abs(F.col("taken") - F.col("target")) - F.col("size") / 2
+    n, target, size, most_off = mixed.agg(F.count("*"), F.sum("target"), F.sum("size"), F.max(off)).first()
+    assert n == 200_000 and target == pytest.approx(1.5 * size) and most_off <= 0.5  # a quota is a whole number
+
+
 def test_sample_stands_as_often_as_it_is_taken(spark):
     docs = corpus(spark, 200)
     times = {r.doc_id: r.taken // r.size for r in mixing.mix(docs, F.array("source")).collect() if r.size}
