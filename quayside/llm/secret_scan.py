@@ -1,11 +1,11 @@
 """Secrets: three fixed patterns, and strings that dictionary-primed compression finds new.
 
-A candidate is a run of key-like characters with more than one class of them. It matters only in a sensitive
+A candidate is a run of key-like characters of more than one class, or a longer one of a single class. It matters only in a sensitive
 context: a word such as key, token or password shortly before it, or in its own run where that is NAME=VALUE, of which
 the value alone is the candidate. A run that follows another with nothing but blanks, line breaks, dots, commas, quotes
 or backslashes between shares its context, so the lines of a key and the parts of a token stand together. Its novelty is what it adds to a compressed frame:
 the bytes of zstandard for the text around it with the candidate, less those without it, primed with a dictionary of
-identifiers. Prose, identifiers and repeated values add little; a secret adds most of its own length. The dictionary
+identifiers; it must be new as written and in lower case. Prose, identifiers and repeated values add little; a secret adds most of its own length. The dictionary
 is a fixed list of identifiers common in code, followed by those most frequent in the corpus' own sensitive contexts.
 
 Scale. Texts are read once: a task finds patterns and candidates with the text around them, which is all that is kept.
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,13 +44,17 @@ HINTS = {"assign": ("passw", "secret", "token", "api"), "access": ("akia",)}
 HEX_RUN = re.compile(r"[0-9a-f]{24}", re.ASCII)
 
 LEAST = 16  # characters of a candidate
+LEAST_PLAIN = 20  # of one that holds a single class
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.ASCII)
 END = "-----END"  # what a key of several lines ends with; the line before it may be short
 TAIL = re.compile(r"(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{1,15})[\s.,'\"`\\]+n?\Z", re.ASCII)
 JOINED = re.compile(r"[\s.,'\"`\\]*", re.ASCII)
 PIECE = re.compile(r"[^=]+(?:=+\Z|==+)?")  # of a run cut where a single = assigns; what pads a value stays with it
+# Short words only where a word or a hump of one begins, and none goes on: author, capital and accessory are no context.
 SENSITIVE = re.compile(
-    r"(?i)(pass(word|wd|phrase)|secret|token|credential|private|signature|bearer|auth|api|access|key\b)", re.ASCII
+    r"(?i:pass(?:word|wd|phrase)|secret|token|credential|private|signature|bearer|authoriz|authentic|key\b)"
+    r"|(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))(?i:auth|api|access)(?![a-z])",
+    re.ASCII,
 )
 SENSITIVE_HINTS = ("pass", "secret", "token", "credential", "private", "signature", "bearer", "auth", "api", "access", "key")
 # Identifiers common in code and configuration, so that they are never news.
@@ -72,7 +76,8 @@ AROUND = 120  # characters of context on either side
 BEFORE = 48  # how far before a candidate's run the sensitive word may stand
 LONGEST_WORD = 10  # characters of a sensitive word
 DICTIONARY_WORDS = 4096  # identifiers of the corpus that the dictionary takes
-NOVEL_SHARE = 0.6  # of a candidate's own length that it must add
+NOVEL_SHARE = 0.65  # of a candidate's own length that it must add
+FOLDED_SHARE = 0.55  # the same in lower case, in which names in capitals or humps are the words they are made of
 
 Span = tuple[str, int, int]
 
@@ -116,12 +121,14 @@ def values(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, str, str, str]]:
     """Start, end, text before, text after and text near of key-like values in a sensitive context, apart from base spans.
 
-    The text near is that before and after without the other values of the same secret.
+    The text near is that before and after without base spans and the other values of the same secret.
     """
     low = text.lower()
     if not any(hint in low for hint in SENSITIVE_HINTS):
         return []
     assigned = sorted(e for kind, _, e in taken if kind == "assign")
+    cover = joined_spans(taken)
+    starts = [s for s, _ in cover]
     found, last_run, sensitive, searched, last, chain = [], -1, False, 0, -1, 0
     for start, end, run in values(text):
         if run != last_run:
@@ -132,39 +139,58 @@ def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, str, str, s
         k = bisect_right(assigned, start)
         follows = last >= 0 and bool(JOINED.fullmatch(text, last, start))
         joined = follows or k > 0 and bool(JOINED.fullmatch(text, assigned[k - 1], start))
-        if classes < 2 and not (joined and end - start < LEAST) or not (sensitive or joined):
+        enough = classes > 1 or classes == 1 and end - start >= LEAST_PLAIN or joined and end - start < LEAST
+        if not enough or not (sensitive or joined):
             continue
         last, chain = end, chain + (not follows)
-        if any(s < end and start < e for _, s, e in taken):
+        begun = bisect_left(starts, end)
+        if begun and cover[begun - 1][1] > start:
             continue
         found.append((start, end, chain, classes))
-    return [
-        (start, end, text[max(0, start - AROUND) : start], text[end : end + AROUND], near(text, found, k))
-        for k, (start, end, _, _) in enumerate(found)
-    ]
-
-
-def near(text: str, found: list[tuple[int, int, int, int]], k: int) -> str:
-    """The text around candidate ``k`` without others of its chain that hold all classes: they are key material."""
-    start, end, chain, _ = found[k]
-    low, high = max(0, start - AROUND), min(len(text), end + AROUND)
-    first = k
+    out = []
+    for k, (start, end, _, _) in enumerate(found):
+        low, high = max(0, start - AROUND), min(len(text), end + AROUND)
+        fixed = cover[max(bisect_right(starts, low) - 1, 0) : bisect_left(starts, high)]
+        out.append((start, end, text[low:start], text[end:high], without(text, low, high, fixed + key_material(found, k, low, high))))
+    return out
+
+
+def joined_spans(spans: list[Span]) -> list[tuple[int, int]]:
+    """The stretches that spans cover, in order and apart."""
+    cover: list[tuple[int, int]] = []
+    for start, end in sorted((s, e) for _, s, e in spans):
+        if cover and start <= cover[-1][1]:
+            start, end = cover[-1][0], max(end, cover.pop()[1])
+        cover.append((start, end))
+    return cover
+
+
+def key_material(found: list[tuple[int, int, int, int]], k: int, low: int, high: int) -> list[tuple[int, int]]:
+    """Candidate ``k`` and those of its chain between ``low`` and ``high`` that hold all classes or are short."""
+    chain, first, spans = found[k][2], k, []
     while first and found[first - 1][2] == chain and found[first - 1][1] > low:
         first -= 1
-    parts, at = [], low
     for other in range(first, len(found)):
-        s, e, its, classes = found[other]
-        if its != chain or s >= high:
+        start, end, its, classes = found[other]
+        if its != chain or start >= high:
             break
-        if other == k or classes == 3 or e - s < LEAST:
-            parts.append(text[at : max(at, s)])
-            at = max(at, e)
+        if other == k or classes == 3 or end - start < LEAST:
+            spans.append((start, end))
+    return spans
+
+
+def without(text: str, low: int, high: int, spans: list[tuple[int, int]]) -> str:
+    """``text[low:high]`` with the spans cut out."""
+    parts, at = [], low
+    for start, end in sorted(spans):
+        parts.append(text[at : max(at, start)])
+        at = max(at, end)
     return " ".join([*parts, text[at : max(at, high)]])
 
 
 def compressor(identifiers: list[str]) -> zstandard.ZstdCompressor:
     """Primed with the identifiers; the last ones are the cheapest to refer to."""
-    body = " ".join([*reversed(identifiers), IDENTIFIERS]).encode()
+    body = " ".join([*reversed(identifiers), IDENTIFIERS]).lower().encode()
     dictionary = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(level=9, dict_data=dictionary, write_content_size=False, write_checksum=False)
 
@@ -175,6 +201,13 @@ def novelty(value: str, before: str, after: str, frame: zstandard.ZstdCompressor
     return (with_it - len(frame.compress((before + after).encode()))) / len(value.encode())
 
 
+def is_novel(value: str, before: str, after: str, frame: zstandard.ZstdCompressor) -> bool:
+    """Whether the value adds enough as it is written, and in lower case too."""
+    if novelty(value, before, after, frame) < NOVEL_SHARE:
+        return False
+    return novelty(value.lower(), before.lower(), after.lower(), frame) >= FOLDED_SHARE
+
+
 def found_in(docs: DataFrame, text: str, **keys) -> DataFrame:
     """Per row: ``keys``, the base spans and the candidates."""
     names = list(keys)
@@ -212,7 +245,7 @@ def corpus_identifiers(found: DataFrame) -> list[str]:
     """The identifiers most frequent around candidates, most frequent first."""
     around = found.select(F.explode("candidates.near").alias("near"))
     names = around.select(F.explode(F.regexp_extract_all("near", F.lit("([A-Za-z_][A-Za-z_.]{2,31})"), 1)).alias("name"))
-    ranked = names.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "name")
+    ranked = names.select(F.lower("name").alias("name")).groupBy("name").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "name")
     return [row.name for row in ranked.limit(DICTIONARY_WORDS).collect()]  # the dictionary's size
 
 
@@ -229,7 +262,7 @@ def judged(found: DataFrame, keys: list[str], identifiers: list[str]) -> DataFra
                 novel = [
                     ("novel", c["start"], c["end"])
                     for c in new
-                    if novelty(c["value"], c["before"], c["after"], frame) >= NOVEL_SHARE
+                    if is_novel(c["value"], c["before"], c["after"], frame)
                 ]
                 base.append(listed(own))
                 digests.append(hashlib.sha256(base[-1].encode()).hexdigest())
@@ -276,9 +309,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
 
         def clean(body: str | None) -> str | None:
             own = base_spans(body or "")
-            new = [
-                (s, e) for s, e, x, y, _ in candidates(body or "", own) if novelty(body[s:e], x, y, frame) >= NOVEL_SHARE
-            ]
+            new = [(s, e) for s, e, x, y, _ in candidates(body or "", own) if is_novel(body[s:e], x, y, frame)]
             spans = [(s, e) for _, s, e in own] + new
             return hidden(body, spans, mark) if spans else body
 

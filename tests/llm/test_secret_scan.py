@@ -1,8 +1,18 @@
 """Secrets: base patterns, novelty, redaction."""
 
+import argparse
+import getpass
 import hashlib
+import hmac
+import inspect
+import netrc
 import random
 import re
+import ssl
+import string
+import tokenize
+import urllib.request
+from collections import Counter
 
 import pytest
 from llm.helpers import DOCUMENT, no_documents, odd_documents, prose, with_clashes
@@ -120,6 +130,57 @@ def test_key_material_is_no_identifier():
     assert not any(line[4:12] in c[4] for c in found for line in lines)
 
 
+CODE = [inspect.getsource(m) for m in (argparse, getpass, hmac, netrc, ssl, tokenize, urllib.request)]
+LINES = ("auth_header = {}", 'client.connect(private_key="{}")', "# bearer {} used here", "AWS_SECRET_ACCESS_KEY={}", "signing_key: {}")
+
+
+def planted(rng):
+    """Library code with one secret in each text, and what was planted."""
+    kinds = [(string.ascii_letters + string.digits, 20), (string.ascii_letters + string.digits + "+/", 44), (string.ascii_lowercase, 26)]
+    for k in range(120):
+        letters, n = kinds[k % 3]
+        value, code = "".join(rng.choice(letters) for _ in range(n)), CODE[k % len(CODE)]
+        at = rng.randrange(len(code) - 700)
+        yield code[at : at + 350] + "\n" + LINES[k % 5].format(value) + "\n" + code[at + 350 : at + 700], value
+
+
+def test_planted_secrets_are_found_and_code_is_left(spark):
+    texts = [*planted(random.Random(10)), *[(code, None) for code in CODE]]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, (t, _) in enumerate(texts)], DOCUMENT)
+    spans = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in secret_scan.scan(docs).collect()}
+    hit = [any(t.index(v) >= int(s) and t.index(v) + len(v) <= int(e) for _, s, e in spans[k]) for k, (t, v) in enumerate(texts) if v]
+    assert sum(hit) >= 0.95 * len(hit)
+    novel = [k for k in range(len(hit), len(texts)) for kind, *_ in spans[k] if kind == "novel"]
+    assert sum(map(len, CODE)) > 290_000 and len(novel) <= 3
+
+    # The novel spans once more, in plain Python.
+    found = [secret_scan.candidates(t, plain_base(t)) for t, _ in texts]
+    names = Counter(n.lower() for new in found for c in new for n in re.findall("[A-Za-z_][A-Za-z_.]{2,31}", c[4]))
+    ranked = sorted((n for n in names if names[n] > 1), key=lambda n: (-names[n], n))[: secret_scan.DICTIONARY_WORDS]
+    frame = secret_scan.compressor(ranked)
+    for k, new in enumerate(found):
+        own = [("novel", s, e) for s, e, x, y, _ in new if secret_scan.is_novel(texts[k][0][s:e], x, y, frame)]
+        assert spans[k] == [[kind, str(s), str(e)] for kind, s, e in secret_scan.in_order(plain_base(texts[k][0]) + own)]
+
+
+def test_short_words_are_no_context_inside_others():
+    value = key(random.Random(11))
+    for name in ("author", "capital", "accessory", "accesses", "apiary"):
+        assert not secret_scan.candidates(f"the {name} {value} of it", [])
+    for name in ("auth", "x-api", "apiVersion", "AUTH_DATA", "userAuth", "ACCESS_ID", "Authorization"):
+        assert secret_scan.candidates(f"the {name} {value} of it", [])
+
+
+def test_candidates_that_meet_base_spans():
+    rng = random.Random(12)
+    for _ in range(300):
+        text = "secret " + " ".join(key(rng, rng.randint(16, 30)) for _ in range(5))
+        taken = [("hex", s, s + rng.randint(1, 60)) for s in rng.sample(range(len(text)), 3)]
+        free = {c[:2] for c in secret_scan.candidates(text, [])}
+        got = {c[:2] for c in secret_scan.candidates(text, taken)}
+        assert got == {(a, b) for a, b in free if not any(s < b and a < e for _, s, e in taken)}
+
+
 def test_query_adds_to_the_base(spark):
     rng = random.Random(4)
     plain, value = prose(rng, 60), key(rng)
