@@ -95,5 +95,5 @@ def test_odd_inputs(spark, sf_dir):
 
 def test_registered():
     found = entry_point.queries()
-    assert set(queries.queries()) | {"pipeline"} <= set(found) and len(queries.queries()) == 10
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert set(queries.queries()) | {"pipeline"} <= set(found) and len(queries.queries()) == 13
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
