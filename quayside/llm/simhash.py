@@ -9,7 +9,8 @@ shard's own fingerprints, following only edges within the radius of the distance
 Scale. Equal fingerprints are merged before sharding, so exact copies cost one row. The number of blocks follows the
 number of fingerprints, so that shards stay small. A shard above ``shard_rows`` is cut into pieces, and every pair of
 pieces becomes a unit of its own. A unit returns a spanning forest of its links, never its pairs. Links of all units
-are merged by star contraction, each round written to the shared folder.
+are merged by star contraction, each round written to the shared folder. Keys of over ``HOT`` rows, such as the centre of
+a large group or a text with very many copies, are joined as a broadcast, so no task receives all rows of one.
 
 Results for odd input: a null or empty text, or one of blanks, has fingerprint 0 and links like any other. Rows are
 never merged in the result: repeated rows appear as often as they come. A null key counts for nothing in the
@@ -28,11 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.joins import broadcast_if_small
 from quayside.llm.words import row_hash, whole
 from quayside.session import stage
 
 SEED = 42
 PAIRS_AT_ONCE = 1 << 22
+HOT = 10_000
 
 
 def simhash(data: bytes, width: int) -> int:
@@ -236,15 +239,30 @@ def links(distinct: DataFrame, radius: int = 4, shard_rows: int = 1024) -> DataF
 # Groups ---------------------------------------------------------------------------------------------------
 
 
+def met(many: DataFrame, few: DataFrame, on: str) -> DataFrame:
+    """``many`` with the row of ``few`` under the same ``on``, for keys that both have.
+
+    ``few`` has every key once, with the number of its rows in ``many`` as ``held``. Of N rows at most N / ``HOT`` keys
+    have over ``HOT``; these are broadcast (as far as they measure small), and only the others are shuffled.
+    """
+    hot = few.where(F.col("held") > HOT)
+    if hot.isEmpty():
+        return many.join(few, on)
+    hot = broadcast_if_small(hot)
+    others = many.join(hot.select(on), on, "left_anti")
+    return many.join(hot, on).unionByName(others.join(few.where(F.col("held") <= HOT), on))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Per node of the undirected ``edges`` (a, b): the smallest node it is connected with, as ``fp, root``.
 
     Star contraction: every node hands its larger neighbours, then its smaller ones, to the smallest neighbour,
-    until each component is one star. A node's minimum is aggregated in the tasks first and joined back, so a node
-    with very many neighbours is no group in one task.
+    until each component is one star. A node's minimum is aggregated in the tasks first and joined back, by ``met`` where
+    a node has very many neighbours, so it is no group in one task.
     """
     larger, smaller = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     star = stage(edges.where("a <> b").select(larger, smaller).distinct(), "links")
+    lowest = F.min("v").alias("m"), F.count("*").alias("held")
     seen = None
     while True:
         state = star.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -252,11 +270,11 @@ def components(edges: DataFrame) -> DataFrame:
             return star.select(F.col("u").alias("fp"), F.col("v").alias("root"))
         seen = state
         both = star.union(star.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(*lowest).withColumn("m", F.least("m", "u"))
+        large = met(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = large.groupBy("u").agg(*lowest)
+        small = met(large, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         star = stage(small.union(least.select("u", "m")).distinct(), "small-star")
 
 
@@ -270,11 +288,12 @@ def group_of_fingerprint(prints: DataFrame, radius: int = 4) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, radius: int = 4) -> DataFrame:
     """Per row of ``docs``: key, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest key of its group."""
     prints = stage(fingerprints(docs, text, width, key=F.col(key)), "simhash")
-    groups = stage(group_of_fingerprint(prints, radius), "simhash-groups")
-    smallest = prints.groupBy("fp").agg(F.min("key").alias("low")).join(groups, "fp")
-    named = smallest.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = stage(groups.join(named, "root").select("fp", "component_id"), "simhash-names")
-    return prints.join(named, "fp").select(
+    groups = group_of_fingerprint(prints, radius)
+    own = prints.groupBy("fp").agg(F.min("key").alias("low"), F.count("*").alias("copies"))
+    own = stage(own.join(groups, "fp"), "simhash-groups")
+    smallest = own.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("held"))
+    named = met(own, smallest, "root").select("fp", "component_id", F.col("copies").alias("held"))
+    return met(prints, stage(named, "simhash-names"), "fp").select(
         F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
