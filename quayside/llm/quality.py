@@ -4,12 +4,14 @@ A text is described by statistics of its bytes, words and lines. Random Fourier
 them into a plain dot product, so ridge regression needs only the sums Z'Z and Z'y, which every task adds up for its
 own rows. Isotonic regression on rows that the ridge has not seen turns its output into the chance of label 1.
 
-Scale. Texts are read once, for their statistics; training and scoring read those. Labelled rows for training are
-bounded (``MOST_LABELLED``, drawn by the hash of the key), sums have a fixed size, and ``TASKS`` of them reach the driver.
+Scale. Texts are read once, for their statistics; training and scoring read those. Labelled keys for training are
+bounded (``MOST_LABELLED``, drawn by the hash of the key) and broadcast, so the statistics of all documents are not
+shuffled to meet them. Sums have a fixed size, and ``TASKS`` of them reach the driver. A text has as many statistics
+however long it is; a very long one is held whole by its task.
 
 Results for odd input: a null or empty text has statistics of zeros and a score like any other. Rows with a null key
-are scored and held out as their (empty) text key says. A key that is repeated among the labels trains with each of
-them. Without any usable label every score is 0.5. An empty table gives an empty one. Other columns are never read.
+are scored and held out as their (empty) text key says, and never train. A key trains once: repeated among the labels
+with the label that most of its rows give (1 on a tie), repeated among the documents with its smallest statistics. Without any usable label every score is 0.5. An empty table gives an empty one. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.words import whole
+from quayside.functions.joins import broadcast_if_small
+from quayside.llm.words import labelled, whole
 from quayside.session import stage
 
 MOST_LABELLED = 100_000
@@ -176,7 +179,7 @@ def train(examples: DataFrame) -> Scorer | None:
 
 
 def bounded(labels: DataFrame, most: int) -> DataFrame:
-    """At most about ``most`` of the labelled rows, drawn by the hash of the key."""
+    """At most about ``most`` of the labelled keys, drawn by their hash."""
     share = min(1.0, most / max(labels.count(), 1))
     return labels.where(F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(1 << 30)) < int(share * (1 << 30)))
 
@@ -189,10 +192,10 @@ def score(
     ``held_out`` is a condition on the key column; labels of those rows are not used at all.
     """
     stats = stage(described(docs, key, text), "statistics")
-    known = labels.select(F.col(f"`{key}`"), F.col(f"`{label}`").cast("int").alias("y")).where(F.col("y").isin(0, 1))
-    known = known.where(~F.coalesce(held_out, F.lit(False))).select(F.col(f"`{key}`").alias("key"), "y")
+    drawn = stage(bounded(stage(labelled(labels, key, label, held_out), "labels"), MOST_LABELLED), "drawn-labels")
+    met = stats.join(broadcast_if_small(drawn), "key").groupBy("key").agg(F.min(F.struct("x", "y")).alias("least"))
     calibrates = F.pmod(F.xxhash64("key", F.lit(5)), F.lit(5)) == 0
-    examples = stats.join(bounded(known, MOST_LABELLED), "key").select("key", "x", "y", calibrates.alias("calibrates"))
+    examples = met.select("key", "least.x", "least.y", calibrates.alias("calibrates"))
     scorer = train(stage(examples, "examples"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

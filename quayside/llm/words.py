@@ -32,3 +32,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def row_hash(df: DataFrame) -> Column:
     """A hash of the whole row."""
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def labelled(labels: DataFrame, key: str, label: str, held_out: Column) -> DataFrame:
+    """The labels 0 and 1 of keys that are not held out, as ``key, y``.
+
+    A key that is repeated, however often, is one row with the label that most of its rows give, 1 if as many give 0.
+    """
+    known = labels.select(F.col(f"`{key}`"), F.col(f"`{label}`").cast("int").alias("y")).where(F.col("y").isin(0, 1))
+    known = known.where(~F.coalesce(held_out, F.lit(False))).select(F.col(f"`{key}`").alias("key"), "y")
+    return known.groupBy("key").agg((F.avg("y") >= 0.5).cast("int").alias("y"))

@@ -7,6 +7,7 @@ from llm.helpers import no_documents, odd_documents, with_clashes
 from pyspark.sql import functions as F
 
 from quayside.llm import quality, queries
+from quayside.llm.words import labelled
 
 
 def test_fourier_features_approach_the_kernel():
@@ -75,3 +76,19 @@ def test_odd_inputs(spark, sf_dir):
     assert len({r.score for r in rows if r.doc_id == 4}) == 1
     assert {r.score for r in quality.score(docs, labels.limit(0), held).collect()} == {0.5}
     assert quality.score(no_documents(spark), labels, held).count() == 0
+
+
+def test_a_repeated_key_trains_once(spark, sf_dir):
+    """However often a key is labelled or its document repeated, it is one example, with the label of most of its rows."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    held = queries.remainder("doc_id", 3) == 1
+    first = labels.where(~held).orderBy("doc_id").limit(1)
+    again = first.crossJoin(spark.range(100_000)).drop("id")
+    other = first.withColumn("quality", 1 - F.col("quality"))
+    known = labelled(labels.union(again).union(other), "doc_id", "quality", held)
+    assert {tuple(r) for r in known.collect()} == {tuple(r) for r in labelled(labels, "doc_id", "quality", held).collect()}
+    tie = labelled(first.union(other), "doc_id", "quality", held).collect()
+    assert [r.y for r in tie] == [1]
+    copies = docs.union(docs.join(first.select("doc_id"), "doc_id", "left_semi").crossJoin(spark.range(50)).drop("id"))
+    one, two = ({(r.doc_id, round(r.score, 9)) for r in quality.score(d, x, held).collect()} for d, x in ((docs, labels), (copies, labels.union(again))))
+    assert one == two
