@@ -9,8 +9,9 @@ shard's own fingerprints, following only edges within the radius of the distance
 Scale. Equal fingerprints are merged before sharding, so exact copies cost one row. The number of blocks follows the
 number of fingerprints, so that shards stay small. A shard above ``shard_rows`` is cut into pieces, and every pair of
 pieces becomes a unit of its own. A unit returns a spanning forest of its links, never its pairs. Links of all units
-are merged by star contraction, each round written to the shared folder. Keys of over ``HOT`` rows, such as the centre of
-a large group or a text with very many copies, are joined as a broadcast, so no task receives all rows of one.
+are merged by star contraction, each round written to the shared folder. Keys with over a ``SHARES``-th of the rows,
+such as the centre of a large group or a text with very many copies, are joined as a broadcast of less than ``SHARES``
+rows, so no task receives all rows of one.
 
 Results for odd input: a null or empty text, or one of blanks, has fingerprint 0 and links like any other. Rows are
 never merged in the result: repeated rows appear as often as they come. A null key counts for nothing in the
@@ -29,13 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.joins import broadcast_if_small
 from quayside.llm.words import row_hash, whole
 from quayside.session import stage
 
 SEED = 42
 PAIRS_AT_ONCE = 1 << 22
-HOT = 10_000
+SHARES, LEAST_HOT = 1_000, 1_000
 
 
 def simhash(data: bytes, width: int) -> int:
@@ -242,15 +242,16 @@ def links(distinct: DataFrame, radius: int = 4, shard_rows: int = 1024) -> DataF
 def met(many: DataFrame, few: DataFrame, on: str) -> DataFrame:
     """``many`` with the row of ``few`` under the same ``on``, for keys that both have.
 
-    ``few`` has every key once, with the number of its rows in ``many`` as ``held``. Of N rows at most N / ``HOT`` keys
-    have over ``HOT``; these are broadcast (as far as they measure small), and only the others are shuffled.
+    ``few`` has every key once, with the number of its rows in ``many`` as ``held``. Less than ``SHARES`` keys can have over
+    a ``SHARES``-th of all rows, however many there are; these are broadcast, and only the others are shuffled.
     """
-    hot = few.where(F.col("held") > HOT)
-    if hot.isEmpty():
+    total, most = few.agg(F.coalesce(F.sum("held"), F.lit(0)), F.coalesce(F.max("held"), F.lit(0))).first()
+    bound = max(total // SHARES, LEAST_HOT)
+    if most <= bound:
         return many.join(few, on)
-    hot = broadcast_if_small(hot)
+    hot = F.broadcast(few.where(F.col("held") > bound))
     others = many.join(hot.select(on), on, "left_anti")
-    return many.join(hot, on).unionByName(others.join(few.where(F.col("held") <= HOT), on))
+    return many.join(hot, on).unionByName(others.join(few.where(F.col("held") <= bound), on))
 
 
 def components(edges: DataFrame) -> DataFrame:

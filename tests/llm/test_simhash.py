@@ -114,14 +114,15 @@ def test_components_of_chains_and_stars(spark):
 
 def test_busy_centre_is_spread(spark):
     """A star above the bound gives the same groups, and its rows are not shuffled by the centre."""
-    star = spark.range(simhash.HOT + 5_000).selectExpr("7 as a", "id + 100 as b")
-    few = spark.createDataFrame([(7, 1, simhash.HOT + 5_000), (8, 2, 3)], "a bigint, m bigint, held bigint")
+    n = 15_000
+    star = spark.range(n).selectExpr("7 as a", "id + 100 as b")
+    few = spark.createDataFrame([(7, 1, n), (8, 2, 3)], "a bigint, m bigint, held bigint")
     joined = simhash.met(star.union(spark.createDataFrame([(8, k) for k in (1, 2, 3)], "a bigint, b bigint")), few, "a")
-    assert {tuple(r) for r in joined.groupBy("a", "m").count().collect()} == {(7, 1, simhash.HOT + 5_000), (8, 2, 3)}
+    assert {tuple(r) for r in joined.groupBy("a", "m").count().collect()} == {(7, 1, n), (8, 2, 3)}
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
     roots = simhash.components(star).collect()
-    assert len(roots) == simhash.HOT + 5_000 and {r.root for r in roots} == {7}
+    assert len(roots) == n and {r.root for r in roots} == {7}
 
 
 def corpus(spark):
@@ -149,7 +150,7 @@ def test_query_equals_brute_force(spark):
 def test_hot_keys_change_nothing(spark, monkeypatch):
     docs = corpus(spark).union(corpus(spark).where("doc_id < 90"))
     expected = sorted(map(tuple, simhash.near_duplicates(docs).collect()))
-    monkeypatch.setattr(simhash, "HOT", 1)
+    monkeypatch.setattr(simhash, "LEAST_HOT", 1)
     assert sorted(map(tuple, simhash.near_duplicates(docs).collect())) == expected
 
 
