@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions import measures as M
+from quayside.functions.joins import broadcast_if_small
 
 YEAR = "departure_year"
 KEYS = {
@@ -56,14 +57,20 @@ def states(shipments: DataFrame) -> dict[str, DataFrame]:
 def board(shipments: DataFrame, carriers: DataFrame, ports: DataFrame) -> DataFrame:
     """What the dashboard chooses from: states per year, origin region, carrier name and days of delay.
 
-    Shipments are summed by id before they meet carriers and ports.
+    With many carriers a cell holds few shipments, so they are summed once, after they met carriers and ports (broadcast
+    where these are small): sums by id first would shuffle nearly every shipment twice.
     """
-    per_id = shipments.withColumn("_days", F.col("delay_days"))
-    measured = [value.alias(name) for name, value in _measures().items()]
-    per_id = per_id.groupBy(YEAR, "origin_port_id", "carrier_id", "_days").agg(*measured)
     regions = ports.select(F.col("port_id").alias("origin_port_id"), F.col("region").alias("origin_region"))
-    named = per_id.join(regions, "origin_port_id", "left").join(carriers.select("carrier_id", "carrier_name"), "carrier_id", "left")
-    return merged(named.withColumnRenamed("_days", "delay_days"), [YEAR, *BOARD_KEYS])
+    names = carriers.select("carrier_id", "carrier_name")
+    wide = shipments.join(broadcast_if_small(regions), "origin_port_id", "left")
+    wide = wide.join(broadcast_if_small(names), "carrier_id", "left").withColumn("_days", F.col("delay_days"))
+    # A cell's days are its key, so their counts and sums follow from the number of shipments.
+    days, n = F.col("delay_days"), F.col("n")
+    follows = {"n_delay": F.when(days.isNull(), F.lit(0)).otherwise(n).cast("bigint"), "sum_delay": days.cast("bigint") * n}
+    measured = _measures()
+    summed = [value.alias(name) for name, value in measured.items() if name not in follows]
+    cells = wide.groupBy(YEAR, "origin_region", "carrier_name", "_days").agg(*summed).withColumnRenamed("_days", "delay_days")
+    return cells.withColumns(follows).select(YEAR, *BOARD_KEYS, *measured)
 
 
 # Figures of merged states; ``where`` limits them to some of the states that are summed.

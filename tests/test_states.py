@@ -203,3 +203,9 @@ def test_csv_files_are_shared_by_tasks_where_no_value_spans_lines(spark, tmp_pat
         assert files.read_csv(spark, f"{folder}/a.csv").rdd.getNumPartitions() > 5
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_board_sums_shipments_once(tables):
+    board = states.board(tables["shipments"], tables["carriers"], tables["ports"])
+    plan = board._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "SortMergeJoin" not in plan
