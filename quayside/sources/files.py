@@ -104,9 +104,9 @@ def save_tables(tables: dict[str, DataFrame], database: str | None = None) -> No
 
 
 def write_states(states: dict[str, DataFrame], folder: str) -> None:
-    """Write states by departure year. Only the years that they hold are replaced."""
+    """Write states by departure year. Only the years that they hold are replaced; no task has to hold a large year."""
     for name, df in states.items():
-        writer = df.repartition("departure_year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = df.hint("rebalance", "departure_year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("departure_year").parquet(f"{folder}/{name}")
 
 

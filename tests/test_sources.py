@@ -71,3 +71,19 @@ def test_stage_uses_the_named_folder(spark):
     staged = stage(spark.range(5), "five")
     assert staged.count() == 5
     assert all(shared_dir(spark) in path for path in staged.inputFiles())
+
+
+def test_a_large_year_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(0, 200_000, 1, 4).selectExpr("md5(cast(id as string)) as v", "if(id < 3, 1996, 1997) as departure_year")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        files.write_states({"board": df}, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "board" / "departure_year=1997").glob("*.parquet"))) > 1
+    assert rows_of(spark, tmp_path) == rows_of(spark, tmp_path, df) != []
+
+
+def rows_of(spark, folder, df=None):
+    found = df if df is not None else files.read_parquet_tables(spark, str(folder), ["board"])["board"]
+    return sorted(tuple(r) for r in found.select("v", "departure_year").collect())
