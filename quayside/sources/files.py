@@ -61,18 +61,19 @@ def write_csv(df: DataFrame, path: str) -> None:
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-def _laid_out(df: DataFrame, name: str):
+def _laid_out(df: DataFrame, name: str, by_year: bool = False):
     """A writer with the table's partitioning. The rebalance splits a large year and merges small ones, so
-    that files come out of even size."""
+    that files come out of even size; rows that lie ``by_year`` already are not shuffled for it."""
     column = PARTITION_COLUMNS.get(name)
     if column is None:
         return df.write.mode("overwrite")
-    return df.hint("rebalance", column).write.mode("overwrite").partitionBy(column)
+    return (df if by_year else df.hint("rebalance", column)).write.mode("overwrite").partitionBy(column)
 
 
-def write_parquet_tables(tables: dict[str, DataFrame], folder: str) -> None:
+def write_parquet_tables(tables: dict[str, DataFrame], folder: str, by_year: bool = False) -> None:
+    """``by_year`` says that the rows come from files of one year each and met only broadcast tables since."""
     for name, df in _ordered(tables):
-        _laid_out(df, name).parquet(f"{folder}/{name}")
+        _laid_out(df, name, by_year).parquet(f"{folder}/{name}")
 
 
 def write_marts(marts: dict[str, DataFrame], folder: str) -> None:

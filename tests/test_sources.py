@@ -87,3 +87,19 @@ def test_a_large_year_is_written_by_several_tasks(spark, tmp_path):
 def rows_of(spark, folder, df=None):
     found = df if df is not None else files.read_parquet_tables(spark, str(folder), ["board"])["board"]
     return sorted(tuple(r) for r in found.select("v", "departure_year").collect())
+
+
+def test_the_wide_table_is_written_where_its_rows_lie(spark, sf_dir, tmp_path, monkeypatch):
+    written = {}
+    laid_out = files._laid_out
+
+    def watched(df, name, *given):
+        written[name] = not any(given)
+        return laid_out(df, name, *given)
+
+    monkeypatch.setattr(files, "_laid_out", watched)
+    tables = etl.run_etl(spark, registry.written_csvs(spark, sf_dir), str(tmp_path))
+    assert written["shipments"] and not written["master"]
+    years = {p.name for p in (tmp_path / "master").glob("departure_year=*")}
+    assert years == {p.name for p in (tmp_path / "shipments").glob("departure_year=*")} and len(years) > 1
+    assert tables["master"].count() == tables["shipments"].count()
