@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.joins import broadcast_if_small, measured_bytes
 from quayside.operators import enrich, quality
+from quayside.sources import testdata
 from quayside.plans import registry
 from quayside.session import stage
 
@@ -124,3 +125,15 @@ def test_hot_carrier_is_split_in_the_shuffle_join(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_line_items_meet_orders_in_as_many_tasks_as_they_need(spark, sf_dir, monkeypatch):
+    few = testdata.shipments(spark, sf_dir)
+    rows = testdata._table(spark, sf_dir, "lineitem").count()
+    monkeypatch.setattr(testdata, "LINES_PER_TASK", rows // 9)
+    testdata._join_tasks.cache_clear()
+    try:
+        many = testdata.shipments(spark, sf_dir)
+    finally:
+        testdata._join_tasks.cache_clear()
+    assert many.rdd.getNumPartitions() >= 9 and many.exceptAll(few).isEmpty() and many.count() == few.count()
