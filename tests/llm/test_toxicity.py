@@ -167,3 +167,49 @@ def test_a_repeated_key_is_drawn_once(spark, sf_dir):
     copies = docs.union(docs.join(first.select("doc_id"), "doc_id", "left_semi").crossJoin(spark.range(50)).drop("id"))
     one, two = (toxicity.sampled(d, x, "toxic", "doc_id", "text", held, 6_000).collect() for d, x in ((docs, labels), (copies, again)))
     assert sorted((r.key, r.y, r.n) for r in one) == sorted((r.key, r.y, r.n) for r in two)
+
+
+def test_every_label_trains_and_calibrates(spark, monkeypatch):
+    """Also those beyond the texts that the network starts with."""
+    docs, labels = labelled(spark, 300, 60)
+    docs = docs.withColumn("text", F.concat("text", F.lit(" everywhere")))
+    monkeypatch.setattr(toxicity, "MOST_LABELLED", 40)
+    examples = toxicity.sampled(docs, labels, "toxic", "doc_id", "text", F.lit(False)).localCheckpoint()
+    assert examples.count() == 300
+    trained, judged = [], []
+    one_round, counts = toxicity.trained_round, toxicity.judged_counts
+    monkeypatch.setattr(toxicity, "trained_round", lambda *given: trained.append(one_round(*given)) or trained[-1])
+    monkeypatch.setattr(toxicity, "judged_counts", lambda *given: judged.append(counts(*given)) or judged[-1])
+    classifier = toxicity.train(examples)
+    calibrates = examples.where("pmod(xxhash64(key, 5), 5) = 0").count()
+    row = toxicity.table_rows(b"everywhere")[0, 0]
+    assert sum(int(touched[row]) for _, touched in trained) == 300 - calibrates
+    assert sum(judged[0]["n"].to_pylist()) == calibrates
+    assert classifier.network is trained[-1][0] and (trained[0][0].table != trained[-1][0].table).any()
+
+
+def test_rounds_do_not_depend_on_order(spark):
+    docs, labels = labelled(spark, 60, 60)
+    examples = toxicity.sampled(docs, labels, "toxic", "doc_id", "text", F.lit(False)).repartition(3, "key").sortWithinPartitions("key").localCheckpoint()
+    one, two = (toxicity.trained_round(toxicity.Network(), examples, (1.0, 1.0)) for _ in range(2))
+    assert (one[0].table == two[0].table).all() and all((a == b).all() for a, b in zip(one[0].dense(), two[0].dense()))
+    none, touched = toxicity.trained_round(one[0], examples.limit(0), (1.0, 1.0))
+    assert (none.table == one[0].table).all() and (none.out == one[0].out).all() and touched.sum() == 0
+
+
+def test_gradients_of_long_texts_in_runs(monkeypatch):
+    rng = np.random.default_rng(5)
+    network = toxicity.Network(seed=6)
+    network.table *= 30
+    texts = [toxicity.table_rows(b" ".join(b"w%d" % k for k in rng.integers(0, 300, n))) for n in (3, 1000, 0, 90, 300)]
+    labels = np.array([1, 1, 0, 0, 1])
+    whole, rows, row_grads = network.gradients(texts, labels)
+    monkeypatch.setattr(toxicity, "RUN", 2 * toxicity.SEGMENT)
+    parts, same_rows, part_grads = network.gradients(texts, labels)
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(whole, parts))
+    assert (rows == same_rows).all() and np.allclose(row_grads, part_grads, atol=1e-5)
+
+
+def test_threshold_of_counts():
+    margins, labels, n = np.array([-1.0, 0.5, 0.5, 2.0]), np.array([0, 0, 1, 1]), np.array([3, 2, 4, 1])
+    assert toxicity.threshold(margins, labels, n) == toxicity.threshold(np.repeat(margins, n), np.repeat(labels, n))
