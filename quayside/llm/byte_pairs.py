@@ -39,8 +39,8 @@ def spelled(piece: str) -> str:
     return piece.encode().decode("latin-1").translate(ALPHABET)
 
 
-@lru_cache(maxsize=4)
 def vocabulary(path: str) -> dict:
+    """The file's content, which is large and not kept."""
     with open(path, encoding="utf-8") as file:
         return json.load(file)
 

@@ -18,12 +18,14 @@ ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ from quayside.session import stage
 
 CAPACITY = 2048
 END = 0
+AT_ONCE = 5_000  # new chunks given to the library
+PORTION = 1_000_000  # bytes of texts worked on together; a longer text comes alone
 
 
 # Token ids ------------------------------------------------------------------------------------------------
@@ -43,6 +47,8 @@ class Encoder:
     """Ids of texts as little-endian 32-bit numbers by the tokenizers library, remembering chunks met before."""
 
     def __init__(self, path: str):
+        # Tasks already share the cores; threads of the library's own would each keep memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.path, self.known, self.library = path, {}, B.library(path)
         words = self.library.get_vocab()
         self.opens = {mark: np.zeros(max(words.values()) + 1, bool) for mark in "ĠĊ"}  # tokens that begin with a blank
@@ -75,21 +81,27 @@ class Encoder:
         for lead, glue, mark in ((False, " ", "Ġ"), (True, "", "Ċ")):
             # Shortest first, so that no more than two line breaks meet.
             own = sorted((c for c in new if (c[0] == "\n") is lead), key=len)
-            for start in range(0, len(own), 50_000):
-                self.learn(own[start : start + 50_000], glue, mark)
+            for start in range(0, len(own), AT_ONCE):
+                self.learn(own[start : start + AT_ONCE], glue, mark)
         heads = self.ids([text if parts is None else parts[0] for text, parts in zip(texts, split)])
         known = self.known.__getitem__
-        return [b"".join([head.tobytes(), *map(known, parts[1] if parts else ())]) for head, parts in zip(heads, split)]
+        coded = [b"".join([head.tobytes(), *map(known, parts[1] if parts else ())]) for head, parts in zip(heads, split)]
+        for chunk in new:
+            if len(chunk) > B.LONGEST_REMEMBERED:
+                del self.known[chunk]
+        return coded
 
 
-def portions(texts: list[str], size: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about so many characters."""
-    start = total = 0
-    for k, text in enumerate(texts):
-        total += len(text)
-        if total >= size or k == len(texts) - 1:
-            yield start, k + 1
-            start, total = k + 1, 0
+def portions(lengths: Iterable[int], size: int = PORTION) -> Iterator[tuple[int, int]]:
+    """Runs of texts of these lengths, of about so much together."""
+    start = total = end = 0
+    for end, length in enumerate(lengths, 1):
+        total += length
+        if total >= size:
+            yield start, end
+            start, total = end, 0
+    if end > start:
+        yield start, end
 
 
 @lru_cache(maxsize=2)
@@ -115,10 +127,10 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, key: str, text: str)
         end = np.array([END], "<u4").tobytes()
         made = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for low, high in portions(texts):
+            texts = batch.column("_text")
+            for low, high in portions(pc.binary_length(texts).to_pylist()):
                 rows, of = [], []
-                for k, ids in enumerate(code.encode(texts[low:high]), low):
+                for k, ids in enumerate(code.encode(texts.slice(low, high - low).to_pylist()), low):
                     ids += end
                     for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                         crc = zlib.crc32(ids[4 * start : 4 * (start + length)])

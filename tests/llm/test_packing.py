@@ -143,3 +143,21 @@ def test_odd_inputs(spark):
     docs = with_clashes(odd_documents(spark), "piece", "length", "number", "task", "offset", "n", "begin")
     check(docs, packing.pack(docs, PATH, 64), 64)
     assert packing.pack(no_documents(spark), PATH).count() == 0
+
+
+def test_long_chunks_are_not_remembered(monkeypatch):
+    """What a worker keeps is bounded in bytes too."""
+    code = packing.Encoder(PATH)
+    texts = ["a " + "longword" * 5000 + " b", "c " + "longword" * 5000, "d\n" + "x1" * 100]
+    assert [np.frombuffer(x, "<u4").tolist() + [0] for x in code.encode(texts)] == [ids(t) for t in texts]
+    assert code.known and max(map(len, code.known)) <= byte_pairs.LONGEST_REMEMBERED
+    given, ids_of = [], code.ids
+    monkeypatch.setattr(code, "ids", lambda some: given.append(some) or ids_of(some))
+    many = " ".join(f"n{k}" for k in range(30_000))
+    assert np.frombuffer(code.encode([many])[0], "<u4").tolist() + [0] == ids(many)
+    assert max(len(x[0]) for x in given) < len(many) / 4  # new words go to the library a few thousand at a time
+
+
+def test_portions():
+    assert list(packing.portions([5, 5, 1, 20, 3], 10)) == [(0, 2), (2, 4), (4, 5)]
+    assert list(packing.portions([], 10)) == [] and list(packing.portions([0, 0], 10)) == [(0, 2)]
