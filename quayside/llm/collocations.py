@@ -10,8 +10,9 @@ order (a phrase next to its extensions to the right) and in suffix order (next t
 parts, right parts and extensions are met by sort-merge joins, in which Spark advances two sorted streams in lockstep; no
 hash table of counts is built.
 
-Counting reads the texts three times: for words, pairs, and runs of three words up. A phrase is never more frequent than
-any part of it, so a pass only emits what the one before leaves possible: pairs of frequent words, runs of frequent pairs.
+Counting reads the texts four times: for words, pairs, triples, and runs of four words up. A phrase is never more frequent
+than any part of it, so a pass only emits what the one before leaves possible: pairs of frequent words, triples of frequent
+pairs, runs of frequent triples.
 Tasks know these from a table of bits of fixed size (16 MB) in which each frequent phrase sets two. A phrase that meets
 set bits by chance is counted and then dropped by its true count, so results are exact at any size; a corpus that fills
 the table only loses the saving. A run is counted once at its full length, and shorter ones are the sums over the runs
@@ -108,7 +109,7 @@ class Bits:
 
 
 def frequent_bits(frequent: DataFrame) -> np.ndarray:
-    """The bits of words or pairs (``lang``, ``phrase``); what comes to the driver has a fixed size."""
+    """The bits of words, pairs or triples (``lang``, ``phrase``); what comes to the driver has a fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,8 +117,11 @@ def frequent_bits(frequent: DataFrame) -> np.ndarray:
             for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seed = xxhash.xxh64_intdigest(lang.encode())
                 hashes.append([xxhash.xxh64_intdigest(w, seed) for w in bytes(phrase).split(b" ")])
-            parts = np.array(hashes, np.uint64).reshape(len(hashes), -1)
-            hashed = mixed(parts[:, 0], parts[:, 1]) if parts.shape[1] == 2 else parts[:, 0]
+            if not hashes:
+                continue
+            hashed, *more = np.array(hashes, np.uint64).T
+            for other in more:
+                hashed = mixed(hashed, other)
             at = np.concatenate(bit_places(hashed))
             bits = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(bits)], ["block", "bits"])
@@ -156,17 +160,30 @@ def pair_counts(words: Words, lang: str, bits: Bits) -> tuple[list[pa.Array], np
     return [words.phrases(pairs // size, pairs % size).cast(pa.binary())], counts
 
 
+def triple_counts(words: Words, lang: str, bits: Bits) -> tuple[list[pa.Array], np.ndarray]:
+    """Triples of words whose pairs both may be frequent."""
+    hashes = words.hashes(lang)[words.places]
+    ok = words.joined[:-1] & bits.has(mixed(hashes[:-1], hashes[1:]))
+    at = np.flatnonzero(ok[:-1] & ok[1:])
+    size = len(words.distinct)
+    pairs, pair = np.unique(words.places[at] * size + words.places[at + 1], return_inverse=True)
+    triples, counts = np.unique(pair * size + words.places[at + 2], return_counts=True)
+    pairs = pairs[triples // size]
+    return [words.phrases(pairs // size, pairs % size, triples % size).cast(pa.binary())], counts
+
+
 def run_counts(words: Words, lang: str, bits: Bits, longest: int) -> tuple[list[pa.Array], np.ndarray]:
-    """From every place the longest run of three words up, of pairs that all may be frequent; one column per word."""
+    """From every place the longest run of four words up, of triples that all may be frequent; one column per word."""
     hashes = words.hashes(lang)[words.places]
-    ok = np.append(words.joined[:-1] & bits.has(mixed(hashes[:-1], hashes[1:])), np.zeros(longest, bool))
+    ok = words.joined[:-2] & words.joined[1:-1] & bits.has(mixed(mixed(hashes[:-2], hashes[1:-1]), hashes[2:]))
     n = len(words.places)
-    reach, length = ok[:n].copy(), np.ones(n, np.int64)
-    for k in range(1, longest):
+    ok = np.append(ok, np.zeros(n - len(ok) + longest, bool))
+    reach, length = ok[:n].copy(), np.full(n, 2)
+    for k in range(1, longest - 1):
         length += reach
         reach &= ok[k : k + n]
     columns, counts = [[] for _ in range(longest)], []
-    for size in range(3, longest + 1):
+    for size in range(4, longest + 1):
         at = np.flatnonzero(length == size)
         # Numbers of runs of one word, then two, ... stay below the square of the distinct words.
         number = words.places[at]
@@ -181,7 +198,7 @@ def run_counts(words: Words, lang: str, bits: Bits, longest: int) -> tuple[list[
 
 
 def prefix_counts(runs: DataFrame, least: int, longest: int) -> DataFrame:
-    """Counts of the phrases of three words up that begin runs, from the stream of runs in prefix order.
+    """Counts of the phrases of four words up that begin runs, from the stream of runs in prefix order.
 
     There a phrase is a stretch of neighbours, so sums over stretches are all that it takes. What a batch cuts off goes on
     as a part; stretches inside it are whole, and those below ``least`` end there.
@@ -198,7 +215,7 @@ def prefix_counts(runs: DataFrame, least: int, longest: int) -> DataFrame:
             for k, column in enumerate(batch.columns[: longest + 1]):
                 known = column.fill_null("" if k == 0 else b"")
                 starts_here[1:] |= pc.not_equal(known[1:], known[:-1]).to_numpy(zero_copy_only=False)
-                if k < 3:
+                if k < 4:
                     continue
                 starts = np.flatnonzero(starts_here)
                 sums = np.add.reduceat(f, starts)
@@ -254,6 +271,9 @@ def phrase_counts(docs: DataFrame, least: int, longest: int, lang: str = "lang",
         lists.append(stage(summed(counted(texts, pair_counts, ["phrase"], bits=bits)).where(enough), "collocation-pairs"))
     if longest >= 3:
         bits = spark.sparkContext.broadcast(frequent_bits(lists[1]))
+        lists.append(stage(summed(counted(texts, triple_counts, ["phrase"], bits=bits)).where(enough), "collocation-triples"))
+    if longest >= 4:
+        bits = spark.sparkContext.broadcast(frequent_bits(lists[2]))
         runs = counted(texts, run_counts, [f"w{k}" for k in range(1, longest + 1)], bits=bits, longest=longest)
         lists.append(stage(prefix_counts(runs, least, longest).where(enough), "collocation-runs"))
     found = lists[0]

@@ -112,3 +112,30 @@ def test_odd_input(spark):
     assert sorted(map(tuple, found.collect())) == plain(rows, 3, 5, 100, 100)
     empty = C.collocations(no_documents(spark))
     assert empty.collect() == [] and empty.columns == found.columns
+
+
+def test_a_run_needs_frequent_triples(spark):
+    """Frequent pairs alone make no runs: what is emitted for them would outgrow the texts."""
+    words = C.Words(pa.array(["a b c d e", "a b c", "b c d", "x a b c d"]))
+    hashes = dict(zip(words.distinct.to_pylist(), words.hashes("en")))
+    blocks = np.zeros(1 << (C.BITS - 6), np.uint64)
+    for a, b, c in (b"abc", b"bcd"):
+        of = [np.array([hashes[bytes([w])]], np.uint64) for w in (a, b, c)]
+        for at in C.bit_places(C.mixed(C.mixed(of[0], of[1]), of[2])):
+            blocks[at >> np.uint64(6)] |= np.uint64(1) << (at & np.uint64(63))
+    columns, counts = C.run_counts(words, "en", C.Bits(blocks), 5)
+    found = [tuple(w.as_py() for w in row) for row in zip(*columns)]
+    assert dict(zip(found, counts.tolist())) == {(b"a", b"b", b"c", b"d", None): 2}
+    everything = C.Bits(np.full(1 << (C.BITS - 6), (1 << 64) - 1, np.uint64))
+    (phrases,), counts = C.triple_counts(words, "en", everything)
+    expected = {b"a b c": 3, b"b c d": 3, b"c d e": 1, b"x a b": 1}
+    assert dict(zip(phrases.to_pylist(), counts.tolist())) == expected
+    short = C.Words(pa.array(["a", "b c"]))
+    assert C.triple_counts(short, "en", everything)[1].sum() == C.run_counts(short, "en", everything, 5)[1].sum() == 0
+
+
+@pytest.mark.parametrize("longest", [4, 6])
+def test_other_lengths_equal_plain_counting(spark, longest):
+    rows = corpus(random.Random(longest), 150)
+    found = C.collocations(spark.createDataFrame(rows, DOCUMENT), 6, longest, 500, 100)
+    assert sorted(map(tuple, found.collect())) == plain(rows, 6, longest, 500, 100)
