@@ -22,6 +22,7 @@ OUTSIDE = re.compile("[^\x00-\x1b\x20-ɏ‐-‧€]")
 PIECE = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^\s{LETTERS}{DIGITS}]+|\s+(?!\S)|\s+"
 )
+OTHER_BLANK = re.compile(r"[^\S \n]")
 REMEMBERED = 300_000  # chunks a worker keeps at most (about 60 MB); beyond, it starts anew
 LONGEST_REMEMBERED = 48  # characters of a chunk
 
@@ -71,9 +72,17 @@ def chunk_pieces(chunk: str, path: str) -> list[str]:
     return pieces(chunk if chunk[0] == "\n" else " " + chunk, path)
 
 
+def even(text: str) -> bool:
+    """Whether the text has no other blanks than the chunks can show."""
+    ends = text[:1].isspace() or text[-1:].isspace()
+    if ends or "  " in text or " \n" in text or "\n " in text or "\n\n\n" in text:
+        return False
+    return OTHER_BLANK.search(text) is None
+
+
 def chunks(text: str) -> tuple[str, list[str]] | None:
     """The first word and the chunks after it, or None if the text has other blanks than the chunks can show."""
-    if " ".join(text.split()) != text.replace("\n\n", "\n").replace("\n", " "):
+    if not even(text):
         return None
     first, *rest = text.replace("\n", " \n").split(" ")
     return first, rest

@@ -36,8 +36,9 @@ from quayside.session import stage
 
 CAPACITY = 2048
 END = 0
-AT_ONCE = 5_000  # new chunks given to the library
-PORTION = 1_000_000  # bytes of texts worked on together; a longer text comes alone
+AT_ONCE = 500  # new chunks given to the library
+ENDS = ".,;:!?"  # marks after a word, each a piece of its own
+PORTION = 8_000_000  # bytes of texts worked on together; a longer text comes alone
 
 
 # Token ids ------------------------------------------------------------------------------------------------
@@ -55,42 +56,72 @@ class Encoder:
         for word, number in words.items():
             if word[0] in self.opens:
                 self.opens[word[0]][number] = True
+        word, *ended = self.ids([" a", *[f" a{mark}" for mark in ENDS]])
+        self.ends = {mark: ids[len(word) :].tobytes() for mark, ids in zip(ENDS, ended)}
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(c.ids, "<u4") for c in coded]
 
-    def learn(self, chunks: list[str], glue: str, mark: str) -> None:
+    def learn(self, chunks: list[str], glue: str, mark: str) -> Iterator[tuple[str, bytes]]:
         """Chunks that each begin with a blank, joined to one text: their ids begin at the ids that do."""
         ids = self.ids([glue + glue.join(chunks)])[0]
         starts = np.flatnonzero(self.opens[mark][ids]) * 4
         coded = ids.tobytes()
         ends = [*starts[1:].tolist(), len(coded)]
-        self.known.update(zip(chunks, [coded[a:b] for a, b in zip(starts.tolist(), ends)], strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Several texts at a time: what is new in them goes to the library at once."""
+        return zip(chunks, [coded[a:b] for a, b in zip(starts.tolist(), ends)], strict=True)
+
+    def learnt(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not known: of a word and the mark after it, or by the library."""
+        found: dict[str, bytes] = {}
+        ended = [c for c in new if c[-1] in self.ends and c.isascii() and c[:-1].isalpha()]
+        rest = set(new).difference(ended).union([c[:-1] for c in ended if c[:-1] not in self.known])
+        # Shortest first, so that no more than two line breaks meet.
+        lines = sorted((c for c in rest if c[0] == "\n"), key=len)
+        words = list(rest.difference(lines))
+        for own, glue, mark in ((words, " ", "Ġ"), (lines, "", "Ċ")):
+            for start in range(0, len(own), AT_ONCE):
+                found.update(self.learn(own[start : start + AT_ONCE], glue, mark))
+        for c in ended:
+            word = c[:-1]
+            found[c] = (found.get(word) or self.known[word]) + self.ends[c[-1]]
+        return found
+
+    def look_up(self, chunks: list[str], times: np.ndarray) -> list[bytes]:
+        """Ids of different chunks, met so many times. Few that were met once are remembered: most of them never return."""
         if len(self.known) > B.REMEMBERED:
             self.known.clear()
-        split = [None if B.has_special(text, self.path) else B.chunks(text) for text in texts]
-        new: set[str] = set()
-        for parts in split:
-            if parts:
-                new.update(parts[1])
-        new.difference_update(self.known)
-        for lead, glue, mark in ((False, " ", "Ġ"), (True, "", "Ċ")):
-            # Shortest first, so that no more than two line breaks meet.
-            own = sorted((c for c in new if (c[0] == "\n") is lead), key=len)
-            for start in range(0, len(own), AT_ONCE):
-                self.learn(own[start : start + AT_ONCE], glue, mark)
-        heads = self.ids([text if parts is None else parts[0] for text, parts in zip(texts, split)])
-        known = self.known.__getitem__
-        coded = [b"".join([head.tobytes(), *map(known, parts[1] if parts else ())]) for head, parts in zip(heads, split)]
-        for chunk in new:
-            if len(chunk) > B.LONGEST_REMEMBERED:
-                del self.known[chunk]
+        coded = list(map(self.known.get, chunks))
+        found = self.learnt([c for c, ids in zip(chunks, coded) if ids is None])
+        for k, (chunk, ids) in enumerate(zip(chunks, coded)):
+            if ids is None:
+                coded[k] = found[chunk]
+        often, once = np.flatnonzero(times > 1), np.flatnonzero(times == 1)
+        room = max(B.REMEMBERED // 10 - len(self.known) - len(often), 0)
+        kept = [*often.tolist(), *once[:room].tolist()]
+        self.known.update((chunks[k], coded[k]) for k in kept if len(chunks[k]) <= B.LONGEST_REMEMBERED)
         return coded
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Several texts at a time: a chunk is looked up once for all of them, and new ones go to the library together."""
+        even = [not B.has_special(text, self.path) and B.even(text) for text in texts]
+        spaced = pc.replace_substring(pa.array([t for t, e in zip(texts, even) if e], pa.string()), "\n", " \n")
+        parts = pc.split_pattern(spaced, " ")
+        begin, values = parts.offsets.to_numpy(), parts.values
+        later = np.ones(len(values), bool)
+        later[begin[:-1]] = False
+        first = iter(values.take(pa.array(begin[:-1])).to_pylist())
+        heads = self.ids([next(first) if e else text for text, e in zip(texts, even)])
+
+        rest = values.filter(pa.array(later)).dictionary_encode()
+        chunks = rest.dictionary.to_numpy(zero_copy_only=False).tolist()
+        times = np.bincount(rest.indices.to_numpy(), minlength=len(chunks))
+        ids = pa.array(self.look_up(chunks, times), pa.large_binary()).take(rest.indices)
+        data = memoryview(ids.buffers()[2] or b"")
+        ends = np.concatenate([[0], pc.binary_length(ids).to_numpy().cumsum()])[begin - np.arange(len(begin))].tolist()
+        bodies = (data[a:b] for a, b in zip(ends, ends[1:]))
+        return [b"".join([head.tobytes(), next(bodies) if e else b""]) for head, e in zip(heads, even)]
+
 
 def portions(lengths: Iterable[int], size: int = PORTION) -> Iterator[tuple[int, int]]:
     """Runs of texts of these lengths, of about so much together."""

@@ -158,6 +158,27 @@ def test_long_chunks_are_not_remembered(monkeypatch):
     assert max(len(x[0]) for x in given) < len(many) / 4  # new words go to the library a few thousand at a time
 
 
+def test_new_words_go_to_the_library_once(monkeypatch):
+    """A word met again costs no work of the library, nor does a mark after it; words met once don't crowd others out."""
+    monkeypatch.setattr(byte_pairs, "REMEMBERED", 200)
+    code = packing.Encoder(PATH)
+    given, ids_of = [], code.ids
+    monkeypatch.setattr(code, "ids", lambda some: given.extend(some) or ids_of(some))
+    often = "o " + " ".join(f"often{a}" for a in "abcdefghij" * 3)
+    for k in range(20):
+        text = f"{often} {' '.join(f'once{k}x{n}' for n in range(50))} oftena. oftenb, oftenc"
+        assert np.frombuffer(code.encode([text])[0], "<u4").tolist() + [0] == ids(text)
+    assert sum("oftena" in t for t in given) == 1 and not any("oftena." in t or "oftenb," in t for t in given)
+    assert len(code.known) <= 200
+
+
+def test_even_texts():
+    for text in ("", "a", "a b\nc\n\nd", "é ü"):
+        assert byte_pairs.even(text)
+    for text in (" a", "a ", "a  b", "a \nb", "a\n b", "a\n\n\nb", "a\tb", "a\x1fb", "a\u00a0b", "a\u2003b", "\n", "a\n"):
+        assert not byte_pairs.even(text) and byte_pairs.chunks(text) is None
+
+
 def test_portions():
     assert list(packing.portions([5, 5, 1, 20, 3], 10)) == [(0, 2), (2, 4), (4, 5)]
     assert list(packing.portions([], 10)) == [] and list(packing.portions([0, 0], 10)) == [(0, 2)]
