@@ -27,11 +27,11 @@ from __future__ import annotations
 
 import copy
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +56,8 @@ RUN = 20_000  # words worked through at a time, a whole number of segments
 MOST_KEPT = 3  # runs of a batch whose outputs are kept for the gradients, and not computed again
 MARKS = b".,;:!?|#$%&*\"'()[]{}<>-_/\\=+~^@"
 REMEMBERED = 400_000
+PORTION = 4_000_000  # bytes of texts read together
+TOGETHER = 64  # texts scored together
 
 # Frequent function words by which a text's language is told.
 FUNCTION_WORDS = {
@@ -65,52 +67,89 @@ FUNCTION_WORDS = {
     "es": "el la los las de del y en que un una es por con para se no su al lo como",
 }
 LANGUAGES = ("other", *FUNCTION_WORDS)
-LANGUAGE_OF = {w.encode(): [k for k, x in enumerate(LANGUAGES) if x != "other" and w in FUNCTION_WORDS[x].split()] for x in FUNCTION_WORDS for w in FUNCTION_WORDS[x].split()}
+LANGUAGE_OF = {w.encode(): tuple(k for k, x in enumerate(LANGUAGES) if x != "other" and w in FUNCTION_WORDS[x].split()) for x in FUNCTION_WORDS for w in FUNCTION_WORDS[x].split()}
+SPOKEN = [(), *sorted(set(LANGUAGE_OF.values()))]  # sets of languages that have a function word in common
+SPOKEN_BY = {word: SPOKEN.index(x) for word, x in LANGUAGE_OF.items()}
 
 
 class Words:
-    """Numbers of words and, for every number, the table rows of the word; words met before are remembered."""
+    """Numbers of words and, for every number, the table rows and the languages of the word; words met before are remembered."""
 
     def __init__(self) -> None:
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.rows: list[tuple[int, ...]] = []
+        self.n = 0
+        self.rows = np.zeros((1 << 10, 1 + len(BEGINNINGS)), np.int32)
+        self.spoken = np.zeros(1 << 10, np.int64)  # which of ``SPOKEN``
 
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        """The table rows of the words, those without anything but marks left out; row 0 stands for none."""
+    def numbers(self, tokens: list[bytes]) -> np.ndarray:
+        """Of different tokens; -1 for those that are nothing but marks."""
         if len(self.number) > REMEMBERED:
             self.clear()
-        for token in set(tokens).difference(self.number):
+        hashes: list[int] = []
+        spoken = []
+        for token in tokens:
+            if token in self.number:
+                continue
             bare = token.strip(MARKS)
-            hashes = [zlib.crc32(bare), *[zlib.crc32(bare[:n], n) if len(bare) > n else 0 for n in BEGINNINGS]]
-            self.number[token] = len(self.rows) if bare else -1
+            self.number[token] = self.n + len(spoken) if bare else -1
             if bare:
-                self.rows.append(tuple(1 + h % (ROWS - 1) if h else 0 for h in hashes))
-        numbers = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
-        numbers = numbers[numbers >= 0]
-        own, where = np.unique(numbers, return_inverse=True)
-        known = np.array([self.rows[k] for k in own.tolist()], np.int32).reshape(-1, 1 + len(BEGINNINGS))
-        return known[where]
+                hashes += [zlib.crc32(bare), *[zlib.crc32(bare[:n], n) if len(bare) > n else 0 for n in BEGINNINGS]]
+                spoken.append(SPOKEN_BY.get(bare, 0))
+        end = self.n + len(spoken)
+        if end > len(self.rows):
+            more = max(end, 2 * len(self.rows)) - len(self.rows)
+            self.rows, self.spoken = np.pad(self.rows, ((0, more), (0, 0))), np.pad(self.spoken, (0, more))
+        new = np.array(hashes, np.int64).reshape(-1, 1 + len(BEGINNINGS))
+        self.rows[self.n : end] = np.where(new, 1 + new % (ROWS - 1), 0)
+        self.spoken[self.n : end] = spoken
+        self.n = end
+        return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
 
 
 WORDS = Words()
 
 
+def read(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per binary text the table rows of its words, those without anything but marks left out, and its language.
+
+    Row 0 stands for none. The language goes by the function words of the whole text, 0 if none wins clearly. A word is
+    looked up once for all the texts.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    words = parts.values.dictionary_encode()
+    own = WORDS.numbers(words.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+    numbers = own[words.indices.to_numpy()]
+    there = numbers >= 0
+    text = np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))[there]
+    numbers = numbers[there]
+    said = np.bincount(text * len(SPOKEN) + WORDS.spoken[numbers], minlength=len(texts) * len(SPOKEN))
+    votes = said.reshape(-1, len(SPOKEN)) @ np.array([[k in x for k in range(len(LANGUAGES))] for x in SPOKEN], np.int64)
+    most, second = np.sort(votes, axis=1)[:, :-3:-1].T
+    languages = np.where((most >= 3) & (most > 1.2 * second), votes.argmax(axis=1), 0)
+    return np.split(WORDS.rows[numbers], np.searchsorted(text, np.arange(1, len(texts)))) if len(texts) else [], languages
+
+
 def table_rows(data: bytes) -> np.ndarray:
     """Per word of a text its rows of the embedding table."""
-    return WORDS.of(data.lower().split())
+    return read(pa.array([data], pa.binary()))[0][0]
 
 
 def language(data: bytes) -> int:
-    """By the function words of the whole text, looked up once per distinct word; 0 if none wins clearly."""
-    votes = np.zeros(len(LANGUAGES))
-    for word, n in Counter(data.lower().split()).items():
-        for k in LANGUAGE_OF.get(word.strip(MARKS), ()):
-            votes[k] += n
-    best = int(votes.argmax())
-    return best if votes[best] >= 3 and votes[best] > 1.2 * np.sort(votes)[-2] else 0
+    return int(read(pa.array([data], pa.binary()))[1][0])
+
+
+def portions(texts: pa.Array, together: int = 1) -> Iterator[pa.Array]:
+    """The texts in order, about ``PORTION`` bytes at a time, by whole groups of so many; a longer text comes alone."""
+    upto = np.append(0, pc.binary_length(texts).to_numpy().cumsum(dtype=np.int64))
+    start = 0
+    for end in [*range(together, len(texts), together), len(texts)]:
+        following = min(end + together, len(texts))
+        if end == len(texts) or upto[following] - upto[start] > PORTION:
+            yield texts.slice(start, end - start)
+            start = end
 
 
 class Network:
@@ -327,10 +366,14 @@ class Classifier:
             if min(n[own & (labels == y)].sum() for y in (0, 1)) >= self.LEAST:
                 self.thresholds[k] = threshold(margins[own], labels[own], n[own])
 
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        margins = self.network.margins([table_rows(x) for x in texts])
-        limits = self.thresholds[[language(x) for x in texts]]
-        return 1 / (1 + np.exp(-np.clip(margins - limits, -30, 30).astype(np.float64)))
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        found = []
+        for some in portions(texts, TOGETHER):
+            rows, languages = read(some)
+            margins = [self.network.margins(rows[k : k + TOGETHER]) for k in range(0, len(rows), TOGETHER)]
+            limits = self.thresholds[languages]
+            found.append(1 / (1 + np.exp(-np.clip(np.concatenate([*margins, []]) - limits, -30, 30).astype(np.float64))))
+        return np.concatenate(found)
 
 
 def drawn(known: DataFrame, most: int) -> DataFrame:
@@ -400,12 +443,12 @@ def started(learns: DataFrame) -> Network:
     return network
 
 
-def batches_of(texts: Iterable[tuple[bytes, int]]) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+def batches_of(data: pa.Array, y: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """Words and labels of ``BATCH`` texts, or of fewer if these are long."""
     some, labels, size = [], [], 0
-    for data, y in texts:
-        some.append(table_rows(data))
-        labels.append(y)
+    for rows, label in zip((rows for part in portions(data) for rows in read(part)[0]), y.tolist()):
+        some.append(rows)
+        labels.append(label)
         size += len(some[-1])
         if len(some) == BATCH or size >= MOST_KEPT * RUN:
             yield some, np.array(labels)
@@ -428,9 +471,8 @@ def trained_round(network: Network, texts: DataFrame, weights: tuple[float, floa
         n, touched = 0, np.zeros(ROWS, np.int64)
         for batch in batches:
             rng = np.random.default_rng([SEED, n])
-            labels, data = batch.column("y").to_pylist(), batch.column("data")
-            order = rng.permutation(batch.num_rows).tolist()
-            for words, y in batches_of((data[k].as_buffer().to_pybytes(), labels[k]) for k in order):
+            mixed = batch.take(pa.array(rng.permutation(batch.num_rows)))
+            for words, y in batches_of(mixed.column("data"), mixed.column("y").to_numpy()):
                 for rows in words:
                     touched[np.unique(rows)] += 1
                 adam.step(words, y, np.take(weights, y))
@@ -470,10 +512,10 @@ def judged_counts(network: Network, texts: DataFrame) -> pa.Table:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             margins, languages = [], []
-            for x in batch.column("data"):
-                data = x.as_buffer().to_pybytes()
-                margins.append(float(shared.value.margins([table_rows(data)])[0]))
-                languages.append(language(data))
+            for part in portions(batch.column("data")):
+                texts, spoken = read(part)
+                margins += [float(shared.value.margins([rows])[0]) for rows in texts]
+                languages += spoken.tolist()
             steps = np.rint(np.clip(margins, -FURTHEST, FURTHEST) * FINE).astype(np.int64)
             columns = [batch.column("y"), pa.array(steps), pa.array(languages, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["y", "margin", "language"])
@@ -520,10 +562,8 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = shared.value
         for batch in batches:
-            found: list[float] = []
-            for low in range(0, batch.num_rows, 64):
-                texts = [x.as_buffer().to_pybytes() for x in batch.column("_text").slice(low, 64)]
-                found += [0.0] * len(texts) if classifier is None else classifier.scores(texts).tolist()
+            texts = batch.column("_text")
+            found = np.zeros(len(texts)) if classifier is None else classifier.scores(texts)
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.float64())], names=["key", "score"])
 
     chosen = docs.select(F.col(f"`{key}`").alias("key"), whole(text).cast("binary").alias("_text"))

@@ -1,8 +1,10 @@
 """The convolutional classifier: gradients, pooling over long texts, held-out accuracy."""
 
 import random
+import zlib
 
 import numpy as np
+import pyarrow as pa
 from llm.helpers import DOCUMENT, no_documents, odd_documents, with_clashes
 from pyspark.sql import functions as F
 
@@ -15,6 +17,31 @@ def test_words():
     assert (toxicity.table_rows(b"a b")[:, 1:] == 0).all() and len(toxicity.table_rows(b"")) == 0
 
 
+def test_texts_read_together(monkeypatch):
+    """A word is looked up once for all texts, whose rows and languages are those of each text alone."""
+    texts = [b"The WORD, the word\x0b(of) the --", b"", b"\n le la\x1f les le la les der \r", "É é the of and".encode(), b"le la of of le la"]
+    rows, languages = toxicity.read(pa.array(texts, pa.binary()))
+    for text, found, spoken in zip(texts, rows, languages):
+        words = [w.strip(toxicity.MARKS) for w in text.lower().split()]
+        hashes = [[zlib.crc32(w), *[zlib.crc32(w[:n], n) if len(w) > n else 0 for n in toxicity.BEGINNINGS]] for w in words if w]
+        assert found.tolist() == [[1 + h % (toxicity.ROWS - 1) if h else 0 for h in x] for x in hashes]
+        assert (toxicity.table_rows(text) == found).all() and toxicity.language(text) == spoken
+    assert [toxicity.LANGUAGES[k] for k in languages] == ["en", "other", "fr", "en", "fr"]
+    asked, numbers = [], toxicity.WORDS.numbers
+    monkeypatch.setattr(toxicity.WORDS, "numbers", lambda tokens: asked.extend(tokens) or numbers(tokens))
+    toxicity.read(pa.array([b"same words here"] * 100, pa.binary()))
+    assert sorted(asked) == [b"here", b"same", b"words"]
+
+
+def test_portions(monkeypatch):
+    monkeypatch.setattr(toxicity, "PORTION", 10)
+    texts = pa.array([b"x" * n for n in (5, 5, 1, 20, 3)], pa.binary())
+    assert [len(x) for x in toxicity.portions(texts)] == [2, 1, 1, 1]
+    assert [len(x) for x in toxicity.portions(texts, 2)] == [2, 2, 1]
+    assert [x for part in toxicity.portions(texts, 2) for x in part.to_pylist()] == texts.to_pylist()
+    assert [len(x) for x in toxicity.portions(texts.slice(0, 0))] in ([], [0])
+
+
 def test_language():
     name = lambda text: toxicity.LANGUAGES[toxicity.language(text.encode())]
     assert name("the cat and the dog of it") == "en" and name("le chat et la dame est une") == "fr"
