@@ -33,6 +33,22 @@ def test_unseen_and_missing_categories(spark):
     assert rows == {"a": [0, 0, 1, 0, 0, 1], "b": [1, 0, 0, 0, 0, 0], "c": [None, 0, 1, 0, 0, 0]}
 
 
+def test_codes_from_one_table_and_from_several(spark):
+    rows = [("b", "t", "x", "r", "y", "s"), ("a", None, None, None, "x", "r"), (None, None, "x", "r", "x", "r"), ("b", "t", "z", None, "z", None)]
+    columns = ["carrier_id", "carrier_type", "origin_port_id", "origin_region", "destination_port_id", "dest_region"]
+    whole = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    apart = [whole.select(*columns[:2]).distinct(), whole.select(*columns[2:]).distinct()]
+    one, several = ({tuple(r) for r in features.label_codes(*tables).collect()} for tables in ([whole], apart))
+    assert one == several and ("carrier_type", "nan", 0) in one and ("carrier_id", "nan", 2) in one
+
+
+def test_categories_come_from_carriers_and_pairs_of_ports_alone(spark, sf_dir, prepared):
+    fact = registry.written_shipments(spark, sf_dir)
+    most = fact.select("carrier_id").distinct().count() + fact.select("origin_port_id", "destination_port_id").distinct().count()
+    assert sum(table.count() for table in prepared.categories) == most
+    assert {tuple(r) for r in prepared.codes.collect()} == {tuple(r) for r in features.label_codes(prepared.master).collect()}
+
+
 def test_encoding_is_the_same_without_broadcast(prepared, master):
     one = features.encode(master, prepared.codes).select("shipment_id", *[f"{c}_enc" for c in features.CATEGORIES])
     two = features.encode(master, prepared.codes, limit=-1).select(*one.columns)
