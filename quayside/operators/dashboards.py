@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from quayside.functions import display as D
 from quayside.functions import measures as M
+from quayside.functions.joins import broadcast_if_small
 from quayside.functions.ordering import hash_order
 from quayside.operators import states as S
+from quayside.session import stage
 
 # Shipments of a sample, and of each year and origin region that samples are merged from.
 SAMPLED, SAMPLE_SEED = 300, 42
@@ -192,11 +194,22 @@ def carrier_compare_of_board(
     return _shown_comparison(figures, carrier_from, carrier_to)
 
 
-def samples(shipments: DataFrame, carriers: DataFrame, ports: DataFrame, n: int = SAMPLED, seed: int = SAMPLE_SEED) -> DataFrame:
+def first_prefixes(hashed: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """Per ``keys`` the two digits ``_edge`` up to which at least ``n`` values of ``place`` lie; keys of fewer rows have none."""
+    counts = hashed.groupBy(*keys, F.substring("place", 1, 2).alias("_prefix")).agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    reached = counts.withColumn("_upto", F.sum("_n").over(upto)).where(F.col("_upto") >= n)
+    return reached.groupBy(*keys).agg(F.min("_prefix").alias("_edge"))
+
+
+def samples(
+    shipments: DataFrame, carriers: DataFrame, ports: DataFrame, n: int = SAMPLED, seed: int = SAMPLE_SEED, written: bool = False
+) -> DataFrame:
     """Per departure year and origin region the first ``n`` shipments in hash order, from which any choice of years and
     regions has its sample: the first of a union are among the first of its parts.
 
-    Each task keeps the first of each year and port before anything is shuffled or joined.
+    Each task keeps the first of each year and port before anything is shuffled or joined. Shipments that are ``written``
+    are read twice: counts of the leading digits of the hash tell which cannot be among the first, so that few are sorted.
     """
 
     def first(df: DataFrame, *keys: str) -> DataFrame:
@@ -204,7 +217,16 @@ def samples(shipments: DataFrame, carriers: DataFrame, ports: DataFrame, n: int
         return df.withColumn("_row", place).where(F.col("_row") <= n).drop("_row")
 
     kept = ["shipment_id", "departure_year", "origin_port_id", "carrier_id", "delay_days", "cost_usd"]
-    few = first(shipments.select(*kept, hash_order("shipment_id", seed).alias("place")), "departure_year", "origin_port_id")
+    keys = ["departure_year", "origin_port_id"]
+    hashed = shipments.select(*kept, hash_order("shipment_id", seed).alias("place"))
+    if written:
+        edges = broadcast_if_small(stage(first_prefixes(hashed, keys, n), "sample-edges"))
+        edges = edges.withColumnsRenamed({k: f"_{k}" for k in keys})
+        same_keys = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        # A missing id has no hash and comes first.
+        ahead = F.coalesce(F.substring("place", 1, 2) <= F.col("_edge"), F.lit(True))
+        hashed = hashed.join(edges, same_keys, "left").where(ahead).select(*kept, "place")
+    few = first(hashed, *keys)
     regions = ports.select(F.col("port_id").alias("origin_port_id"), F.col("region").alias("origin_region"))
     named = few.join(regions, "origin_port_id", "left").join(carriers.select("carrier_id", "carrier_type"), "carrier_id", "left")
     return first(named.drop("origin_port_id", "carrier_id"), "departure_year", "origin_region")

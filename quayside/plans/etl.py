@@ -40,9 +40,9 @@ def run_etl(spark: SparkSession, raw_dir: str, out_dir: str, multiline: bool | N
 
 
 def all_states(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The states that marts, views and the dashboard follow from."""
+    """The states that marts, views and the dashboard follow from. Shipments should be a written table."""
     shipments, sides = tables["shipments"], (tables["carriers"], tables["ports"])
-    boards = {"board": states.board(shipments, *sides), "samples": dashboards.samples(shipments, *sides)}
+    boards = {"board": states.board(shipments, *sides), "samples": dashboards.samples(shipments, *sides, written=True)}
     return states.states(shipments) | boards
 
 

@@ -99,6 +99,32 @@ def test_boards_equal_shipments(spark, request, kind, years, regions):
         )
 
 
+@pytest.mark.parametrize("kind", ["tables", "odd_tables"])
+@pytest.mark.parametrize("n", [1, 7, 300])
+def test_samples_of_written_shipments(request, kind, n):
+    given = request.getfixturevalue(kind)
+    sides = given["shipments"], given["carriers"], given["ports"]
+    assert rows(dashboards.samples(*sides, n, written=True)) == rows(dashboards.samples(*sides, n))
+
+
+def test_few_shipments_are_sorted_for_samples(spark):
+    places = [("a", f"{i:02x}{k}") for i in range(256) for k in range(4)] + [("b", "00x")] + [("c", None)] * 9 + [(None, "7fx")] * 9
+    edges = dashboards.first_prefixes(spark.createDataFrame(places, "port string, place string"), ["port"], 9)
+    assert {tuple(r) for r in edges.collect()} == {("a", "02"), ("c", None), (None, "7f")}
+
+
+def test_samples_with_missing_ids(spark):
+    lines = [(None, "P1", i) for i in range(5)] + [(f"S{i}", "P1", i) for i in range(400)] + [(f"T{i}", None, i) for i in range(400)]
+    shipments = spark.createDataFrame(lines, "shipment_id string, origin_port_id string, delay_days int").selectExpr(
+        "*", "if(delay_days % 2 = 0, 1996, null) as departure_year", "'C1' as carrier_id", "cast(delay_days as double) as cost_usd"
+    )
+    carriers = spark.createDataFrame([("C1", "Air")], "carrier_id string, carrier_type string")
+    ports = spark.createDataFrame([("P1", "ASIA")], "port_id string, region string")
+    found = rows(dashboards.samples(shipments, carriers, ports, 9, written=True))
+    assert found == rows(dashboards.samples(shipments, carriers, ports, 9)) and len(found) == 36
+    assert len(rows(dashboards.samples(shipments, carriers, ports, 9, written=True).where("shipment_id is null"))) == 5
+
+
 def test_states_of_parts_add_up(tables):
     shipments = tables["shipments"]
     for keys in ([], ["carrier_id"], ["departure_month"]):
