@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +24,7 @@ from quayside.llm import (
     url_filters,
 )
 from quayside.llm.words import table
+from quayside.session import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "byte_bpe_50k.json"
@@ -34,13 +34,6 @@ def vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers find this package where it isn't installed, as in a checkout."""
-    root, known = str(Path(__file__).parents[2]), spark.sparkContext.environment
-    if root not in known.get("PYTHONPATH", "").split(":"):
-        known["PYTHONPATH"] = ":".join(filter(None, [root, known.get("PYTHONPATH", "")]))
-
-
 def remainder(key: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % divisor
 
